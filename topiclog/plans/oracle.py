@@ -68,9 +68,9 @@ _VIEWS = {
     "v_event_meta_kafka": _metadata("v_event_marks", "v_event_last", "kafka"),
     "v_shipments": f"""SELECT {_TOPIC} AS topic, {_partition("CAST(l_orderkey AS VARCHAR)", 8)} AS "partition",
         CAST(l_orderkey AS VARCHAR) AS "key", l_partkey || ':' || l_suppkey || ':' || l_linenumber AS "value",
-        l_shipdate AS ts, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem""",
+        l_shipdate AS ts, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem""",
     "v_shipment_parts": _parts("v_shipments", 8, 1000),
-    "v_shipment_log": _log("v_shipments", "v_shipment_parts", "l_orderkey, l_linenumber, l_partkey, l_suppkey"),
+    "v_shipment_log": _log("v_shipments", "v_shipment_parts", "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate"),
     "v_shipment_marks": _marks("v_shipment_log", "v_shipment_parts"),
     "v_shipment_commits": _commits("v_shipment_log"),
     "v_shipment_last": _last("v_shipment_commits"),
@@ -229,7 +229,7 @@ _BODIES = {
         AND regexp_matches(topic, '^(?:scribe\\.dc.\\.ship_F)')""",
     "regex_topics_by_cluster": f"""SELECT {_LISTED} FROM v_held WHERE regexp_matches(topic, '^(?:scribe\\.dc[AN]|nothing)')
         GROUP BY type, name, brokers, zookeeper""",
-    "clusters_by_region": "SELECT type, name, brokers, zookeeper FROM v_places WHERE type = 'standard' AND region = 'CHINA'",
+    "clusters_by_region": "SELECT type, name, brokers, zookeeper FROM v_places WHERE type = 'standard' AND region = 'NATION_9'",
     "clusters_by_superregion": "SELECT type, name, brokers, zookeeper FROM v_places WHERE type = 'scribe' AND superregion = 'EUROPE'",
     "cluster_by_name": "SELECT * FROM v_clusters WHERE type = 'scribe' AND name = 'cluster7'",
     "all_clusters": "SELECT * FROM v_clusters WHERE type = 'scribe'",
@@ -237,7 +237,7 @@ _BODIES = {
         AND topic = 'scribe.dcN.ship_O'""",
     "logs_topics_by_cluster": f"SELECT {_LISTED} FROM v_held GROUP BY type, name, brokers, zookeeper",
     "logs_by_stream": f"SELECT {_HELD} FROM v_held WHERE superregion = 'ASIA' AND topic LIKE '%.ship_O'",
-    "logs_by_region_regex": f"SELECT {_HELD} FROM v_held WHERE region = 'CHINA' AND regexp_matches('fleet.' || split_part(topic, '.', 3), 'ship_[FX]')",
+    "logs_by_region_regex": f"SELECT {_HELD} FROM v_held WHERE region = 'NATION_9' AND regexp_matches('fleet.' || split_part(topic, '.', 3), 'ship_[FX]')",
     "logs_by_superregion_regex": f"""SELECT {_HELD} FROM v_held WHERE superregion = 'AMERICA'
         AND regexp_matches('fleet.' || split_part(topic, '.', 3), '^fleet\\..*_O$')""",
     "log_regions": "SELECT DISTINCT region FROM v_held",

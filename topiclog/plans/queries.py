@@ -399,7 +399,7 @@ def regex_topics_by_cluster(spark, sf_dir):
 @query
 def clusters_by_region(spark, sf_dir):
     return _with_cluster(discovery.find_clusters(
-        views.clusters(spark, sf_dir), "standard", views.regions(spark, sf_dir), region="CHINA"))
+        views.clusters(spark, sf_dir), "standard", views.regions(spark, sf_dir), region="NATION_9"))
 
 
 @query
@@ -438,7 +438,7 @@ def logs_by_stream(spark, sf_dir):
 @query
 def logs_by_region_regex(spark, sf_dir):
     return _with_cluster(discovery.log_topics(
-        discovery.find_logs(views.logs(spark, sf_dir), region="CHINA", pattern=r"ship_[FX]")))
+        discovery.find_logs(views.logs(spark, sf_dir), region="NATION_9", pattern=r"ship_[FX]")))
 
 
 @query

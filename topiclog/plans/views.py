@@ -22,7 +22,7 @@ from topiclog.sources.log import TopicLog
 GROUP = "g1"
 _EVENT_PARTITIONS = 4
 _SHIPMENT_PARTITIONS = 8
-SHIPMENT_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+SHIPMENT_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 _built: dict[tuple[str, str, str], str] = {}
 
