@@ -197,8 +197,7 @@ class TopicLog:
         # The turns of a topic are spread over tasks; bring each partition's stretches together to keep files few.
         # A stretch is bounded, so no partition ends up whole in one task.
         stretch = F.expr(f"_index div {int(rows_per_piece)}")
-        self._write(
-            placed.repartition(*PARTITION_KEYS, stretch).sortWithinPartitions(*PARTITION_KEYS, "_index"), append_id)
+        self._write(placed.repartition(*PARTITION_KEYS, stretch), append_id)
 
     def _with_partition_count(self, rows: DataFrame) -> DataFrame:
         """Rows with the number of partitions of their topic; raises for topics that were not created."""
@@ -212,7 +211,6 @@ class TopicLog:
         return rows.join(counts, "topic")
 
     def _write(self, numbered: DataFrame, append_id: str) -> None:
-        # Rows come sorted by partition and index: the numbering left them so, and the join below keeps the order.
         # The append's own earlier attempt must not count, or a repeat would shift its offsets.
         log = self.within(numbered.sparkSession)
         ends = broadcast_if_small(pinned(
@@ -220,6 +218,8 @@ class TopicLog:
         (
             numbered.join(ends, PARTITION_KEYS)
             .select((F.col("_end") + F.col("_index")).alias("offset"), "key", "value", "timestamp", *PARTITION_KEYS)
+            # Without this the writer sorts by its directories only and offsets lose their order.
+            .sortWithinPartitions(*PARTITION_KEYS, "offset")
             .write.mode("overwrite").partitionBy(*PARTITION_KEYS)
             .parquet(os.path.join(self.path, f"append={append_id}"))
         )
