@@ -656,5 +656,5 @@ def stream_lag(spark, sf_dir):
     def store(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(out + "/lag")
 
-    wait(live_lag(log.stream(), ledger, views.GROUP, store, out + "/checkpoint"), _STREAM_TIMEOUT_MS)
+    wait(live_lag(log.stream(), ledger, views.GROUP, store, out + "/checkpoint", heads=log.heads()), _STREAM_TIMEOUT_MS)
     return spark.read.schema("topic string, partition int, lag bigint").parquet(out + "/lag")

@@ -185,14 +185,19 @@ def live_lag(
     report: Callable[[DataFrame, int], Any],
     checkpoint: str,
     storage: str | None = None,
+    heads: DataFrame | None = None,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
     """Report ``topic, partition, lag`` of a group after each micro-batch.
 
-    The state is one row per topic-partition, whatever the number of messages.
+    The state is one row per topic-partition, whatever the number of messages. ``heads`` (``topic, partition,
+    next_offset``) adds the partitions that have had no message yet.
     """
     def run(marks: DataFrame, batch_id: int) -> None:
         commits = ledger.within(marks.sparkSession).commits()
+        if heads is not None:
+            marks = heads.join(marks, _KEYS, "left").select(
+                *_KEYS, *[F.coalesce(mark, "next_offset").alias(mark) for mark in ("lowmark", "highmark")])
         report(lag(offsets_metadata(marks.select(*_KEYS), commits, marks, group_id, storage)), batch_id)
 
     return (
