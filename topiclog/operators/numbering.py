@@ -1,7 +1,7 @@
 """Dense 0, 1, 2, … numbering that does not put a hot group into one task.
 
 A plain ``row_number()`` window sends every row of a group to one task, and one topic-partition may hold a
-third of a log. Groups that a sample shows to be large are cut along the *ordering* into pieces of about
+third of a log. If the largest group is too large, the groups that a sample shows to be so are cut along the *ordering* into pieces of about
 ``rows_per_piece`` rows. The window runs inside (group, piece), and the rows in earlier pieces of the same
 group are added from a count table with one row per piece. Small groups stay whole, so the number of
 (group, piece) pairs, and with it the number of files an append writes, stays near rows / rows_per_piece
@@ -14,7 +14,7 @@ import math
 from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,17 +30,18 @@ def dense_index(
     within: Sequence[str] = (),
     into: str = "index",
     rows_per_piece: int = ROWS_PER_PIECE,
+    sizes: Row | None = None,
 ) -> DataFrame:
     """Add ``into``: the 0-based place of each row of a ``within`` group in ascending ``order_by`` order.
 
     ``rows`` is read more than once and must give the same rows each time (a stored table does).
-    ``within`` columns must not be NULL. Ties in ``order_by`` are numbered in any order.
+    ``within`` columns must not be NULL. Ties in ``order_by`` are numbered in any order. ``sizes`` saves
+    a pass for a caller that has :func:`group_sizes` already.
     """
     within = list(within)
-    total = rows.count()
-    if total <= rows_per_piece:
-        return rows.withColumn(into, _place(within, order_by))
-    cuts = _cuts(rows, order_by, within, total, max(rows_per_piece, math.ceil(total / MAX_PIECES)))
+    sizes = sizes or group_sizes(rows, within)
+    size = max(rows_per_piece, math.ceil((sizes.total or 0) / MAX_PIECES))
+    cuts = _cuts(rows, order_by, within, size) if (sizes.largest or 0) > size else {}
     if not cuts:
         return rows.withColumn(into, _place(within, order_by))
 
@@ -62,12 +63,18 @@ def dense_index(
     )
 
 
+def group_sizes(rows: DataFrame, within: Sequence[str], *more: Column) -> Row:
+    """``total`` rows, those of the ``largest`` group, and ``more`` aggregates over the ``within`` columns."""
+    counts = rows.groupBy(*within).agg(F.count("*").alias("_rows"))
+    return counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest"), *more).first()
+
+
 def _place(group: Sequence[str], order_by: Sequence[str]) -> Column:
     window = Window.partitionBy(*group).orderBy(*order_by)
     return F.row_number().over(window).cast("bigint") - 1
 
 
-def _cuts(rows: DataFrame, order_by: Sequence[str], within: list[str], total: int, size: int) -> dict[tuple, list[str]]:
+def _cuts(rows: DataFrame, order_by: Sequence[str], within: list[str], size: int) -> dict[tuple, list[str]]:
     """Cut points (as JSON) of each group that a sample shows to have more than ``size`` rows.
 
     The sample only decides how even the pieces are, as in a range shuffle; every row is numbered.

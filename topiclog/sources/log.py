@@ -14,13 +14,13 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from topiclog import schemas
 from topiclog.errors import UnknownTopicError
 from topiclog.functions.patterns import starts_matching
-from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index
+from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index, group_sizes
 from topiclog.session import broadcast_if_small, pinned
 
 PARTITION_KEYS = ["topic", "partition"]
@@ -47,6 +47,14 @@ def footer_scan(spark: SparkSession, schema, path: str) -> DataFrame:
         spark.conf.set("spark.sql.sources.useV1SourceList", v1_sources)
 
 
+def _checked_sizes(rows: DataFrame, within: Sequence[str], known: str) -> Row:
+    """Group sizes of rows to append; raises if ``known`` is NULL, as it is for topics that were not created."""
+    sizes = group_sizes(rows, within, F.min(F.when(F.col(known).isNull(), F.col("topic"))).alias("unknown"))
+    if sizes.unknown is not None:
+        raise UnknownTopicError(f"topic {sizes.unknown!r} does not exist in this log")
+    return sizes
+
+
 class TopicLog:
     """A log directory and the table of its partitions."""
 
@@ -179,8 +187,8 @@ class TopicLog:
         """Append ``topic, key, value[, timestamp]`` rows; equal keys share a partition."""
         placed = self._with_partition_count(rows).withColumn(
             "partition", keyed_partition(F.col("key"), F.col("_partitions")))
-        numbered = dense_index(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece)
-        self._write(numbered, append_id)
+        sizes = _checked_sizes(placed, PARTITION_KEYS, "partition")
+        self._write(dense_index(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece, sizes), append_id)
 
     def append_unkeyed(self, rows: DataFrame, order_by: Sequence[str], append_id: str,
                        rows_per_piece: int = ROWS_PER_PIECE) -> None:
@@ -188,7 +196,9 @@ class TopicLog:
 
         One numbering per topic gives both the partition and the place in it.
         """
-        dealt = dense_index(self._with_partition_count(rows), order_by, ["topic"], "_turn", rows_per_piece)
+        counted = self._with_partition_count(rows)
+        sizes = _checked_sizes(counted, ["topic", "_partitions"], "_partitions")
+        dealt = dense_index(counted, order_by, ["topic"], "_turn", rows_per_piece, sizes)
         placed = (
             dealt.withColumn("key", F.lit(None).cast("binary"))
             .withColumn("partition", F.pmod("_turn", F.col("_partitions")).cast("int"))
@@ -200,15 +210,12 @@ class TopicLog:
         self._write(placed.repartition(*PARTITION_KEYS, stretch), append_id)
 
     def _with_partition_count(self, rows: DataFrame) -> DataFrame:
-        """Rows with the number of partitions of their topic; raises for topics that were not created."""
-        log = self.within(rows.sparkSession)
-        counts = broadcast_if_small(log.heads().groupBy("topic").agg(F.count("*").alias("_partitions")))
-        unknown = [r.topic for r in rows.join(counts, "topic", "left_anti").select("topic").limit(1).collect()]
-        if unknown:
-            raise UnknownTopicError(f"topic {unknown[0]!r} does not exist in this log")
+        """Rows with the number of partitions of their topic, NULL for topics that were not created."""
+        heads = self.within(rows.sparkSession).heads()
+        counts = broadcast_if_small(heads.groupBy("topic").agg(F.count("*").alias("_partitions")))
         if "timestamp" not in rows.columns:
             rows = rows.withColumn("timestamp", F.current_timestamp())
-        return rows.join(counts, "topic")
+        return rows.join(counts, "topic", "left")
 
     def _write(self, numbered: DataFrame, append_id: str) -> None:
         # The append's own earlier attempt must not count, or a repeat would shift its offsets.
