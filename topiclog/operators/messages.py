@@ -39,23 +39,26 @@ def delivery_audit(messages: DataFrame) -> DataFrame:
 
 
 def offset_gaps(messages: DataFrame, stretch: int = STRETCH) -> DataFrame:
-    """Neighbouring offsets of a partition that do not follow each other by one.
+    """Where the offsets of a partition do not follow each other by one.
 
-    ``previous, offset, step``: step 0 is a repeated offset, more than 1 a hole. A window per
-    partition would put a hot partition into one task, so neighbours are compared inside stretches of
-    offsets, and the ends of stretches with each other.
+    ``previous, offset, step, times``: a hole has step > 1, an offset seen again has step 0 and says how many
+    ``times`` again. A window per partition would put a hot partition into one task. So repeats are counted
+    first, neighbours are compared inside stretches of offsets, and the ends of stretches with each other.
     """
     offsets = messages.select(*KEYS, "offset", F.expr(f"offset div {int(stretch)}").alias("_stretch"))
-    inside = offsets.withColumn(
+    inside = offsets.groupBy(*KEYS, "_stretch", "offset").agg(F.count("*").alias("_copies")).withColumn(
         "previous", F.lag("offset").over(Window.partitionBy(*KEYS, "_stretch").orderBy("offset")))
     ends = offsets.groupBy(*KEYS, "_stretch").agg(F.min("offset").alias("offset"), F.max("offset").alias("_last"))
-    between = ends.withColumn("previous", F.lag("_last").over(Window.partitionBy(*KEYS).orderBy("_stretch")))
-    step = F.col("offset") - F.col("previous")
+    between = ends.withColumn(
+        "previous", F.lag("_last").over(Window.partitionBy(*KEYS).orderBy("_stretch"))).withColumn("_copies", F.lit(1).cast("bigint"))
+    once = F.struct(F.col("previous"), F.lit(1).cast("bigint").alias("times"))
+    again = F.struct(F.col("offset").alias("previous"), (F.col("_copies") - 1).alias("times"))
+    step = F.col("offset") - F.col("found.previous")
     return (
-        inside.select(*KEYS, "previous", "offset")
-        .unionByName(between.select(*KEYS, "previous", "offset"))
-        .where(step != 1)
-        .select(*KEYS, "previous", "offset", step.alias("step"))
+        inside.unionByName(between.select(*inside.columns))
+        .select(*KEYS, "offset", F.explode(F.array(once, again)).alias("found"))
+        .where((step > 1) | ((step == 0) & (F.col("found.times") > 0)))
+        .select(*KEYS, "found.previous", "offset", step.alias("step"), "found.times")
     )
 
 

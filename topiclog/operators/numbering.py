@@ -117,10 +117,14 @@ def _piece(schema: T.StructType, order_by: Sequence[str], cuts: list[list[str]])
     fields = ", ".join(f"k{i}: {schema[c].dataType.simpleString()}" for i, c in enumerate(order_by))
     text = "[" + ",".join("[" + ",".join(c) + "]" for c in cuts) + "]"
     points = F.get(F.from_json(F.lit(text), f"array<array<struct<{fields}>>>"), F.col("_hot"))
-    key = _order_key(order_by)
     steps = F.array(*[F.lit(1 << e) for e in reversed(range(max(map(len, cuts)).bit_length()))])
-    found = F.aggregate(
-        steps, F.lit(0),
-        lambda low, step: F.when(F.get(points, low + step - 1) <= key, low + step).otherwise(low),
-    )
+
+    def halving(key: Column) -> Column:
+        return F.aggregate(
+            steps, F.lit(0),
+            lambda low, step: F.when(F.get(points, low + step - 1) <= key, low + step).otherwise(low),
+        )
+
+    # A one-element transform binds the key, which would otherwise be built again in every step.
+    found = F.transform(F.array(_order_key(order_by)), halving)[0]
     return F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(found)

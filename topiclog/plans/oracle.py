@@ -174,10 +174,10 @@ _BODIES = {
         FROM v_shipment_log""",
     "delivery_audit": _AUDIT.format("v_event_log"),
     "delivery_audit_shipments": _AUDIT.format("v_shipment_log"),
-    "offset_gaps": f"""SELECT topic, "partition", previous, "offset", "offset" - previous AS step FROM (
+    "offset_gaps": f"""SELECT topic, "partition", previous, "offset", "offset" - previous AS step, count(*) AS times FROM (
         SELECT *, lag("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS previous FROM (
         SELECT {_TOPIC} AS topic, CAST(l_suppkey % 4 AS INTEGER) AS "partition", l_orderkey AS "offset" FROM lineitem))
-        WHERE "offset" - previous <> 1""",
+        WHERE "offset" - previous <> 1 GROUP BY topic, "partition", previous, "offset" """,
     "assign_offsets": """SELECT topic, "partition", "offset" - base AS "offset", "key", "value" FROM v_shipment_log""",
     "append_keyed": f"SELECT {_MESSAGE} FROM v_event_log",
     "append_unkeyed": """SELECT topic, "partition", turn // 4 + 100 * ("partition" + 1) AS "offset", CAST(NULL AS VARCHAR) AS "key", "value"

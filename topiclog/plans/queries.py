@@ -611,6 +611,11 @@ def metric_dimensions(spark, sf_dir):
 
 # -- streams, drained with availableNow ----------------------------------------------------------
 
+def _third_of_files(log: TopicLog) -> int:
+    """Files per micro-batch that make a few micro-batches of a log of any size."""
+    return max(1, len(log.messages().inputFiles()) // 3)
+
+
 @query
 def stream_topics(spark, sf_dir):
     log, out = views.event_log(spark, sf_dir), new_dir(spark, "stream-topics")
@@ -626,7 +631,7 @@ def stream_append(spark, sf_dir):
     """The messages of the event log, appended to a second log in several micro-batches."""
     source, out = views.event_log(spark, sf_dir), new_dir(spark, "stream-append")
     log = views.new_event_log(spark, sf_dir, out + "/log")
-    rows = source.stream(max_files=16).withColumnRenamed("partition", "source_partition").withColumnRenamed("offset", "source_offset")
+    rows = source.stream(max_files=_third_of_files(source)).withColumnRenamed("partition", "source_partition").withColumnRenamed("offset", "source_offset")
     wait(append_stream(rows, log, ["timestamp", "key", "source_offset"], out + "/checkpoint", "copy"), _STREAM_TIMEOUT_MS)
     # Which files share a micro-batch is not fixed, so compare what does not depend on it.
     return messages.delivery_audit(log.messages())
@@ -642,7 +647,7 @@ def stream_commit(spark, sf_dir):
         batch.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
 
     starts = log.watermarks().select(*KEYS, F.col("lowmark").alias("start"))
-    run = consume(log.stream(max_files=16), store, ledger, views.GROUP, out + "/checkpoint", "reader", starts=starts)
+    run = consume(log.stream(max_files=_third_of_files(log)), store, ledger, views.GROUP, out + "/checkpoint", "reader", starts=starts)
     wait(run, _STREAM_TIMEOUT_MS)
     stored = spark.read.schema("topic string, partition int, offset bigint").parquet(out + "/rows")
     done = stored.groupBy(*KEYS).agg(F.count("*").alias("messages"))
