@@ -14,11 +14,11 @@ import math
 from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_PIECE = 500_000
+ROWS_PER_PIECE = 1_000_000
 # Bounds what the driver samples and what the count table holds; beyond it pieces get larger, not more.
 MAX_PIECES = 16_384
 _SAMPLE_PER_PIECE = 20
@@ -30,18 +30,18 @@ def dense_index(
     within: Sequence[str] = (),
     into: str = "index",
     rows_per_piece: int = ROWS_PER_PIECE,
-    sizes: Row | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Add ``into``: the 0-based place of each row of a ``within`` group in ascending ``order_by`` order.
 
     ``rows`` is read more than once and must give the same rows each time (a stored table does).
-    ``within`` columns must not be NULL. Ties in ``order_by`` are numbered in any order. ``sizes`` saves
-    a pass for a caller that has :func:`group_sizes` already.
+    ``within`` columns must not be NULL. Ties in ``order_by`` are numbered in any order. ``total`` is the number
+    of rows, for a caller that has counted them.
     """
     within = list(within)
-    sizes = sizes or group_sizes(rows, within)
-    size = max(rows_per_piece, math.ceil((sizes.total or 0) / MAX_PIECES))
-    cuts = _cuts(rows, order_by, within, size) if (sizes.largest or 0) > size else {}
+    total = rows.count() if total is None else total
+    size = max(rows_per_piece, math.ceil(total / MAX_PIECES))
+    cuts = _cuts(rows, order_by, within, size) if total > size and _largest_group(rows, within, total) > size else {}
     if not cuts:
         return rows.withColumn(into, _place(within, order_by))
 
@@ -63,10 +63,10 @@ def dense_index(
     )
 
 
-def group_sizes(rows: DataFrame, within: Sequence[str], *more: Column) -> Row:
-    """``total`` rows, those of the ``largest`` group, and ``more`` aggregates over the ``within`` columns."""
-    counts = rows.groupBy(*within).agg(F.count("*").alias("_rows"))
-    return counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest"), *more).first()
+def _largest_group(rows: DataFrame, within: list[str], total: int) -> int:
+    if not within:
+        return total
+    return rows.groupBy(*within).agg(F.count("*").alias("_rows")).agg(F.max("_rows")).first()[0]
 
 
 def _place(group: Sequence[str], order_by: Sequence[str]) -> Column:

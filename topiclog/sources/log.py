@@ -14,13 +14,13 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclog import schemas
 from topiclog.errors import UnknownTopicError
 from topiclog.functions.patterns import starts_matching
-from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index, group_sizes
+from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index
 from topiclog.session import broadcast_if_small, pinned
 
 PARTITION_KEYS = ["topic", "partition"]
@@ -47,12 +47,13 @@ def footer_scan(spark: SparkSession, schema, path: str) -> DataFrame:
         spark.conf.set("spark.sql.sources.useV1SourceList", v1_sources)
 
 
-def _checked_sizes(rows: DataFrame, within: Sequence[str], known: str) -> Row:
-    """Group sizes of rows to append; raises if ``known`` is NULL, as it is for topics that were not created."""
-    sizes = group_sizes(rows, within, F.min(F.when(F.col(known).isNull(), F.col("topic"))).alias("unknown"))
-    if sizes.unknown is not None:
-        raise UnknownTopicError(f"topic {sizes.unknown!r} does not exist in this log")
-    return sizes
+def _checked_total(rows: DataFrame) -> int:
+    """Number of rows to append; raises if one is for a topic that was not created. Reads the topics only."""
+    found = rows.agg(
+        F.count("*").alias("total"), F.min(F.when(F.col("_partitions").isNull(), F.col("topic"))).alias("unknown")).first()
+    if found.unknown is not None:
+        raise UnknownTopicError(f"topic {found.unknown!r} does not exist in this log")
+    return found.total
 
 
 class TopicLog:
@@ -187,8 +188,7 @@ class TopicLog:
         """Append ``topic, key, value[, timestamp]`` rows; equal keys share a partition."""
         placed = self._with_partition_count(rows).withColumn(
             "partition", keyed_partition(F.col("key"), F.col("_partitions")))
-        sizes = _checked_sizes(placed, PARTITION_KEYS, "partition")
-        self._write(dense_index(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece, sizes), append_id)
+        self._write(dense_index(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece, _checked_total(placed)), append_id)
 
     def append_unkeyed(self, rows: DataFrame, order_by: Sequence[str], append_id: str,
                        rows_per_piece: int = ROWS_PER_PIECE) -> None:
@@ -197,8 +197,7 @@ class TopicLog:
         One numbering per topic gives both the partition and the place in it.
         """
         counted = self._with_partition_count(rows)
-        sizes = _checked_sizes(counted, ["topic", "_partitions"], "_partitions")
-        dealt = dense_index(counted, order_by, ["topic"], "_turn", rows_per_piece, sizes)
+        dealt = dense_index(counted, order_by, ["topic"], "_turn", rows_per_piece, _checked_total(counted))
         placed = (
             dealt.withColumn("key", F.lit(None).cast("binary"))
             .withColumn("partition", F.pmod("_turn", F.col("_partitions")).cast("int"))
