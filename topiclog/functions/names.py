@@ -67,10 +67,10 @@ def group_path(group_id: Column, topics: Column, base: str = "/groups", by_topic
 
 
 def as_text(payload: Column) -> Column:
-    """UTF-8 bytes to text."""
-    return F.decode(payload, "UTF-8")
+    """UTF-8 bytes to text, without copying them."""
+    return payload.cast("string")
 
 
 def as_bytes(text: Column) -> Column:
-    """Text to UTF-8 bytes."""
-    return F.encode(text, "UTF-8")
+    """Text to UTF-8 bytes, without copying them."""
+    return text.cast("binary")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclog import schemas
-from topiclog.functions.names import make_topic
+from topiclog.functions.names import as_bytes, make_topic
 from topiclog.operators.discovery import discover_partitions
 from topiclog.session import new_dir
 from topiclog.sources.ledger import CommitLedger
@@ -47,8 +47,8 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages that have no partition and offset yet."""
     return table(spark, sf_dir, "events").select(
         make_topic(F.concat(F.lit("dc"), (F.col("user_id") % 2).cast("string")), F.col("event_type")).alias("topic"),
-        F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
-        F.encode("props", "UTF-8").alias("value"),
+        as_bytes(F.col("user_id").cast("string")).alias("key"),
+        as_bytes(F.col("props")).alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         "event_id",
     )
@@ -58,8 +58,8 @@ def shipment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as messages that have no partition and offset yet."""
     return table(spark, sf_dir, "lineitem").select(
         shipment_topic().alias("topic"),
-        F.encode(F.col("l_orderkey").cast("string"), "UTF-8").alias("key"),
-        F.encode(F.concat_ws(":", "l_partkey", "l_suppkey", "l_linenumber"), "UTF-8").alias("value"),
+        as_bytes(F.col("l_orderkey").cast("string")).alias("key"),
+        as_bytes(F.concat_ws(":", "l_partkey", "l_suppkey", "l_linenumber")).alias("value"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
         *SHIPMENT_ORDER,
     )
