@@ -74,7 +74,7 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     return _known()["lower"][raw]
 
 
-def _cut(text: bytes) -> Iterator[bytes]:
+def cut(text: bytes) -> Iterator[bytes]:
     """A long text in pieces of about a chunk, cut at white space; longer only within one word."""
     at = 0
     while len(text) - at > CHUNK_BYTES:
@@ -108,7 +108,7 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarr
 
     for i, text in enumerate(texts):
         if len(text) > CHUNK_BYTES:
-            for piece in _cut(text):
+            for piece in cut(text):
                 yield packed([i], [piece])
             continue
         if group and size + len(text) > CHUNK_BYTES:
