@@ -22,15 +22,19 @@ from topiclog.llm.graph import components
 from topiclog.llm.textbytes import mixed, word_hashes
 
 BANDS, ROWS = 24, 4
-SKETCH_LONGS = 8
-# Samples stray: a pair is kept unless its estimate is this far below the threshold (over five standard deviations).
-MARGIN = 0.25
+# The sketch folds more samples than the bands use; with them an estimate strays by 0.027 (one standard deviation) at 0.8.
+SAMPLES = 240
+SKETCH_LONGS = 16
+# A pair is kept unless its estimate is this far below the threshold.
+MARGIN = 0.13
+# Members of the main component that the strays of a bucket are compared with before all of them are.
+GUIDES = 4
 COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(77)
-    k = BANDS * ROWS
+    k = SAMPLES
     return rng.integers(0, 2**32, k, dtype=np.uint32) | np.uint32(1), rng.integers(0, 2**32, k, dtype=np.uint32)
 
 
@@ -55,7 +59,7 @@ def shingle_sets(texts: list[bytes], n: int) -> Iterator[tuple[int, np.ndarray]]
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(band hashes, odd sketches) of some non-empty sets, both as rows of 64-bit integers."""
     a, b = per_process("permutations", _permutations)
-    k, bits = BANDS * ROWS, 64 * SKETCH_LONGS
+    k, bits = SAMPLES, 64 * SKETCH_LONGS
     flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
     least = np.empty((len(sets), k), np.uint32)
@@ -63,7 +67,7 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         least[:, i] = np.minimum.reduceat(flat * a[i] + b[i], starts)
     bands = np.full((len(sets), BANDS), 1, np.uint64) * np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(ROWS):
-        bands = mixed(bands * np.uint64(31) + least[:, i::ROWS])
+        bands = mixed(bands * np.uint64(31) + least[:, i:BANDS * ROWS:ROWS])
     spot = mixed((np.arange(k, dtype=np.uint64) << np.uint64(32)) + least) % np.uint64(bits)
     parity = np.zeros((len(sets), bits), np.uint8)
     np.bitwise_xor.at(parity, (np.repeat(np.arange(len(sets)), k), spot.astype(np.int64).ravel()), 1)
@@ -73,7 +77,7 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def max_differing_bits(similarity: float) -> int:
     """Bits in which two sketches may differ if the estimated similarity reaches ``similarity``."""
     bits = 64 * SKETCH_LONGS
-    samples = 2 * BANDS * ROWS * (1 - similarity)
+    samples = 2 * SAMPLES * (1 - similarity)
     return math.ceil(bits / 2 * (1 - math.exp(-2 * samples / bits)))
 
 
@@ -172,13 +176,9 @@ class _Linker:
             self.rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members"))
             .where("members > 1"), "buckets")
 
-    def to_leaders(self) -> DataFrame:
-        """Candidates (a, b): every member of a bucket with the least member."""
-        pairs = (
-            self.rows.join(self.buckets, "bucket").where("node <> leader")
-            .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        )
-        pairs = stored(pairs, "stars")
+    def _alike(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sizes and sketches allow the threshold."""
+        pairs = stored(pairs.distinct(), "pairs")
         sketches = self.nodes.select("node", "n_shingles", *_SKETCH)
         return (
             pairs.alias("p").join(sketches.alias("x"), F.col("p.a") == F.col("x.node"))
@@ -186,23 +186,43 @@ class _Linker:
             .where(_alike("x", "y", self.percent)).select("p.a", "p.b")
         )
 
-    def across(self, labels: DataFrame) -> DataFrame:
-        """Candidates between members of one bucket that are still in different components.
+    def to_leaders(self) -> DataFrame:
+        """Candidates (a, b): every member of a bucket with the least member."""
+        pairs = self.rows.join(self.buckets, "bucket").where("node <> leader")
+        return self._alike(pairs.select(F.col("leader").alias("a"), F.col("node").alias("b")))
 
-        In each bucket the component with most members is not paired with itself, so a large group of copies costs
-        one comparison for each stray member. Pairs with the leader were judged before.
-        """
+    def _mixed(self, labels: DataFrame) -> DataFrame:
+        """Members (bucket, node, label, main) of buckets that still hold several components; main is the component with
+        most members there. Leaders were compared with all others before and are left out."""
         members = (
             self.rows.join(self.buckets.where("members > 2"), "bucket").where("node <> leader").select("bucket", "node")
             .join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
         )
-        counted = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-        mixed_up = (
-            counted.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
-            .where("parts > 1").select("bucket", "main")
-        )
-        known = self.nodes.select("node", "n_shingles", *_SKETCH)
-        members = stored(members.join(mixed_up, "bucket").join(known, "node"), "mixed")
+        members = stored(members, "members")
+        mains = stored(
+            members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
+            .groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
+            .where("parts > 1").select("bucket", "main"), "mains")
+        return members.join(mains, "bucket")
+
+    def to_guides(self, labels: DataFrame) -> DataFrame:
+        """Candidates between each stray and a few members of the main component of its bucket, chosen by hash.
+
+        In a large group of copies nearly every stray is linked to one of these and needs no further comparison.
+        """
+        members = self._mixed(labels)
+        chosen = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(i)), "node"))["node"] for i in range(GUIDES)]
+        guides = stored(members.where("label = main").groupBy("bucket").agg(F.array(*chosen).alias("guides")), "guides")
+        pairs = members.where("label <> main").join(guides, "bucket").select("node", F.explode("guides").alias("guide"))
+        return self._alike(pairs.select(F.least("node", "guide").alias("a"), F.greatest("node", "guide").alias("b")))
+
+    def across(self, labels: DataFrame) -> DataFrame:
+        """Candidates between all members of one bucket that are still in different components.
+
+        The main component is not paired with itself, so a large group of copies costs its size for each stray that is left.
+        """
+        members = self._mixed(labels)
+        members = stored(members.join(self.nodes.select("node", "n_shingles", *_SKETCH), "node"), "mixed")
         return (
             members.where("label <> main").alias("x").join(members.alias("y"), F.expr(
                 "x.bucket = y.bucket and x.label <> y.label and (y.label = y.main or x.node < y.node)")
@@ -217,7 +237,8 @@ class _Linker:
         wanted = stored(wanted.join(self.nodes.select("node", "set_hi", "set_lo"), "node"), "wanted")
         blocks = bloom.blocks_for(wanted.count())
         texts = bloom.possible(self.docs, "id", bloom.built(wanted, "node", blocks), blocks)
-        texts = texts.join(wanted.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("text")
+        # An inner join: a semi-join would be moved below the filter.
+        texts = texts.join(wanted.select(F.col("node").alias("id")).distinct(), "id").select("text")
         run, schema = _setted(self.n)
         sets = texts.mapInArrow(run, schema).join(wanted, ["set_hi", "set_lo"]).select("node", "shingles")
         sets = stored(sets, "sets")
@@ -251,9 +272,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linker = _Linker(source.where("id is not null"), nodes, words, percent)
     links = linker.confirmed(linker.to_leaders())
     labels = components(links)
-    more = linker.confirmed(linker.across(labels))
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    for step in (linker.to_guides, linker.across):
+        more = linker.confirmed(step(labels))
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
     groups = stored(
         nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left")
         .select("set_hi", "set_lo", F.coalesce("label", "node").alias("component_id")), "groups")

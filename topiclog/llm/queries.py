@@ -5,16 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from topiclog.llm import exactdup, mixing, neardup, packing, quality
 from topiclog.llm.base import table
-from topiclog.llm.neardup import near_duplicates
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = packing.pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(cut, docs.count())
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.copies(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    query.__name__: query for query in (op2_quality_classifier, op5_packing, op6_exact_dedup, op9_minhash_near_dedup, op10_source_mixing)
+}
+# SQL where it can express the operator.
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": exactdup.ORACLE,
 }
-ORACLE: dict[str, str] = {}
