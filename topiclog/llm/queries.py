@@ -7,14 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclog.llm import exactdup, mixing, neardup, packing, quality
+from topiclog.llm import exactdup, language, licenses, mixing, neardup, packing, quality, sharding, topk, urls
 from topiclog.llm.base import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only digests of the texts are sharded here; the operator shards any columns, texts included."""
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return sharding.sharded(docs, 16, key_cols=("doc_id", "text_crc32", "size")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the addresses that several pages share."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judged(pages, urls.shared_urls(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     cut = packing.pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -25,6 +44,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(50)) == 0), 5)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,9 +63,15 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_quality_classifier, op5_packing, op6_exact_dedup, op9_minhash_near_dedup, op10_source_mixing)
+    query.__name__: query for query in (
+        op1_license_scan, op2_quality_classifier, op3_stratified_sharding, op4_url_filter, op5_packing, op6_exact_dedup,
+        op7_language_id, op8_exact_topk, op9_minhash_near_dedup, op10_source_mixing,
+    )
 }
 # SQL where it can express the operator.
 ORACLE: dict[str, str] = {
+    "op1_license_scan": licenses.oracle(),
+    "op4_url_filter": urls.ORACLE,
     "op6_exact_dedup": exactdup.ORACLE,
+    "op8_exact_topk": topk.ORACLE,
 }
