@@ -93,7 +93,7 @@ class Encoder:
         split = [t.split() for t in texts]
         if len(self._ids) > REMEMBERED:
             self._ids.clear()
-        missing = set().union(*split) - self._ids.keys()
+        missing = set().union(*split).difference(self._ids)
         if missing:
             self._learn(missing)
         get = self._ids.__getitem__
