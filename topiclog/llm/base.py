@@ -27,6 +27,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, of which Python workers get Arrow batches of at most 8 MB of text or vectors.
+
+    Batches are cut by rows and by bytes; Spark's own limit of 64 MB, held twice by each of an executor's tasks, is a lot next to
+    the memory that a core has. A session that sets another limit keeps it.
+    """
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
+    conf = df.sparkSession.conf
+    if conf.get(name).rstrip("b") == default:
+        conf.set(name, "8m")
+    return df
+
+
 def others(df: DataFrame, taken: Iterable[str]) -> list[Column]:
     """The columns of ``df`` that do not clash with names an operator returns."""
     names = {name.lower() for name in taken}

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiclog.llm.base import crc32_of_id, per_process
+from topiclog.llm.base import bounded_batches, crc32_of_id, per_process
 from topiclog.llm.textbytes import CHUNK_BYTES
 
 # The bounded sample that the languages are learned from: documents for each language, languages, and distinct words
@@ -201,7 +201,7 @@ def identified(docs: DataFrame, words: dict[str, list[str]], id_col: str = "doc_
 
     shared = docs.sparkSession.sparkContext.broadcast(words)
     run, schema = _judge(shared, uuid.uuid4().hex)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def languages(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

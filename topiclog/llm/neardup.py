@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topiclog.llm import bloom
-from topiclog.llm.base import others, per_process, stored
+from topiclog.llm.base import bounded_batches, others, per_process, stored
 from topiclog.llm.graph import components
 from topiclog.llm.textbytes import mixed, word_hashes
 
@@ -263,7 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     The chance that no band of a pair agrees is (1 - s^4)^24 at similarity s: 3e-6 at 0.8 and less above.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    source = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     run, schema = _signed(words)
     signed = stored(source.mapInArrow(run, schema), "signed")
     nodes = stored(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topiclog.llm.base import others, per_process
+from topiclog.llm.base import bounded_batches, others, per_process
 from topiclog.llm.textbytes import CHUNK_BYTES, cut
 
 LENGTH = 2048
@@ -171,7 +171,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
+    source = bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("ids", T.BinaryType()), T.StructField("doc_tokens", T.LongType())])
     return source.mapInArrow(_cutter(length, tokenizer, to_arrow_schema(schema)), schema)

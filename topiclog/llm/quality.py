@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topiclog.llm.base import crc32_of_id, others
+from topiclog.llm.base import bounded_batches, crc32_of_id, others
 from topiclog.llm.textbytes import Prefix, chunks, mixed, word_spans
 
 BUCKETS = 1 << 18
@@ -172,7 +172,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "te
 
     weights, bias = model
     names = [c for c in (docs.columns if keep is None else keep) if c.lower() != "score"]
-    source = docs.select(*(F.col(f"`{c}`") for c in names), F.col(text_col).cast("binary").alias("__text"))
+    source = bounded_batches(docs).select(*(F.col(f"`{c}`") for c in names), F.col(text_col).cast("binary").alias("__text"))
     result = docs.select(*(F.col(f"`{c}`") for c in names), F.lit(0.0).alias("score")).schema
     table = docs.sparkSession.sparkContext.broadcast(weights)
     return source.mapInArrow(_scorer(table, bias, to_arrow_schema(result)), result)

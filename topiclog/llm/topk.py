@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiclog.llm.base import stored
+from topiclog.llm.base import bounded_batches, stored
 
 UNIT_ROWS = 4096
 MOST_BUCKETS = 256
@@ -180,7 +180,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     candidates, and a task holds one unit and a batch of queries at a time.
     """
     def scaled(frame: DataFrame) -> DataFrame:
-        own = frame.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
+        own = bounded_batches(frame).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
         return own.mapInArrow(_scaled, "id long, length double, vector binary")
 
     spark = vectors.sparkSession
