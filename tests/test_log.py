@@ -155,3 +155,31 @@ def test_files_are_sorted_by_offset(spark, log, parquet_files, keyed, rows_per_p
         assert offsets == sorted(offsets)
     heads = log.watermarks().collect()
     assert sum(r.highmark - r.lowmark for r in heads) == 2000 == log.messages().count()
+
+
+def test_rows_without_key_are_kept(spark, log, rows):
+    source = spark.createDataFrame([("wide", None, b"v1", 0), ("wide", b"k", b"v2", 1), ("wide", None, None, 2), ("wide", None, b"v1", 3)], INPUT)
+    log.append_keyed(source, ["seq"], "a")
+    found = rows(log.messages().select("key", "value"))
+    assert found == sorted([(None, bytearray(b"v1")), (bytearray(b"k"), bytearray(b"v2")), (None, None), (None, bytearray(b"v1"))], key=repr)
+    same = log.messages().where("value = cast('v1' as binary)").select("partition").distinct()
+    assert same.count() == 1
+
+
+@pytest.mark.parametrize("append", ["append_keyed", "append_unkeyed"])
+def test_rows_without_topic_are_refused(spark, log, append):
+    source = spark.createDataFrame([(None, b"k", b"v", 0), ("wide", b"k", b"v", 1)], INPUT)
+    with pytest.raises(UnknownTopicError, match="1 rows"):
+        getattr(log, append)(source, ["seq"], "a")
+    assert log.messages().count() == 0
+
+
+@pytest.mark.parametrize("append", ["append_keyed", "append_unkeyed"])
+def test_tied_rows_keep_their_numbers(spark, log, rows, append):
+    """All rows agree in the order: a repeat in another layout must number them alike."""
+    source = spark.createDataFrame([("wide", f"k{i % 3}".encode(), f"v{i}".encode(), 7) for i in range(60)], INPUT)
+    source = source.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    getattr(log, append)(source.repartition(3, "value"), ["seq"], "a", 10)
+    first = rows(text(log.messages()))
+    getattr(log, append)(source.orderBy(F.desc("value")), ["seq"], "a", 10)
+    assert rows(text(log.messages())) == first and len(first) == 60

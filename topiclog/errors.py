@@ -15,6 +15,14 @@ class UnknownPartitionError(TopicLogError):
     """A requested partition is not in the catalog."""
 
 
+class AppendError(TopicLogError):
+    """An append did not store what it was given."""
+
+
+class TopicNameError(TopicLogError, ValueError):
+    """A topic name does not have the form that its parts are read from."""
+
+
 class NoPartitionsError(TopicLogError):
     """None of the subscribed topics has a partition."""
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclog import schemas
-from topiclog.errors import UnknownTopicError
+from topiclog.errors import AppendError, UnknownTopicError
 from topiclog.functions.patterns import starts_matching
 from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index
 from topiclog.session import broadcast_if_small, pinned
@@ -27,7 +27,7 @@ PARTITION_KEYS = ["topic", "partition"]
 
 
 def keyed_partition(key: Column, partitions: Column) -> Column:
-    """Partition of a keyed message: the first 32 bits of its MD5 modulo the partition count."""
+    """Partition of a keyed message: the first 32 bits of its key's MD5 modulo the partition count."""
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), partitions).cast("int")
 
 
@@ -48,14 +48,25 @@ def footer_scan(spark: SparkSession, schema, path: str) -> DataFrame:
 
 
 def _checked_total(rows: DataFrame) -> int:
-    """Number of rows to append; raises if one is for a topic that was not created. Reads the topics only."""
+    """Number of rows to append; raises if one has no topic or one that was not created. Reads the topics only."""
+    lost = F.col("_partitions").isNull()
     found = rows.agg(
-        F.count("*").alias("total"), F.min(F.when(F.col("_partitions").isNull(), F.col("topic"))).alias("unknown")).first()
-    if found.unknown is not None:
-        raise UnknownTopicError(f"topic {found.unknown!r} does not exist in this log")
+        F.count("*").alias("total"), F.count_if(lost).alias("lost"), F.min(F.when(lost, F.col("topic"))).alias("unknown")).first()
+    if found.lost:
+        raise UnknownTopicError(f"{found.lost} rows have no topic of this log; one of their topics is {found.unknown!r}")
     return found.total
 
 
+def _total_order(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Rows with ``_tie``, a hash of the message, to order rows that agree in ``order_by``.
+
+    A task that is run again may see its input in another order; with ties left open two messages could swap
+    their numbers, one be stored twice and the other lost. Rows that agree in the hash as well are the same message.
+    """
+    message = [c for c in ("topic", "key", "value", "timestamp") if c in rows.columns]
+    return rows.withColumn("_tie", F.xxhash64(*order_by, *message))
+
+
 class TopicLog:
     """A log directory and the table of its partitions."""
 
@@ -185,10 +196,14 @@ class TopicLog:
 
     def append_keyed(self, rows: DataFrame, order_by: Sequence[str], append_id: str,
                      rows_per_piece: int = ROWS_PER_PIECE) -> None:
-        """Append ``topic, key, value[, timestamp]`` rows; equal keys share a partition."""
-        placed = self._with_partition_count(rows).withColumn(
-            "partition", keyed_partition(F.col("key"), F.col("_partitions")))
-        self._write(dense_index(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece, _checked_total(placed)), append_id)
+        """Append ``topic, key, value[, timestamp]`` rows; equal keys share a partition.
+
+        Rows without a key go to the partition that their value has as a key. Rows without a topic of the log are refused.
+        """
+        placed = _total_order(self._with_partition_count(rows), order_by).withColumn(
+            "partition", keyed_partition(F.coalesce("key", "value", F.lit("").cast("binary")), F.col("_partitions")))
+        total = _checked_total(placed)
+        self._write(dense_index(placed, [*order_by, "_tie"], PARTITION_KEYS, "_index", rows_per_piece, total), append_id, total)
 
     def append_unkeyed(self, rows: DataFrame, order_by: Sequence[str], append_id: str,
                        rows_per_piece: int = ROWS_PER_PIECE) -> None:
@@ -196,8 +211,9 @@ class TopicLog:
 
         One numbering per topic gives both the partition and the place in it.
         """
-        counted = self._with_partition_count(rows)
-        dealt = dense_index(counted, order_by, ["topic"], "_turn", rows_per_piece, _checked_total(counted))
+        counted = _total_order(self._with_partition_count(rows), order_by)
+        total = _checked_total(counted)
+        dealt = dense_index(counted, [*order_by, "_tie"], ["topic"], "_turn", rows_per_piece, total)
         placed = (
             dealt.withColumn("key", F.lit(None).cast("binary"))
             .withColumn("partition", F.pmod("_turn", F.col("_partitions")).cast("int"))
@@ -206,7 +222,7 @@ class TopicLog:
         # The turns of a topic are spread over tasks; bring each partition's stretches together to keep files few.
         # A stretch is bounded, so no partition ends up whole in one task.
         stretch = F.expr(f"_index div {int(rows_per_piece)}")
-        self._write(placed.repartition(*PARTITION_KEYS, stretch), append_id)
+        self._write(placed.repartition(*PARTITION_KEYS, stretch), append_id, total)
 
     def _with_partition_count(self, rows: DataFrame) -> DataFrame:
         """Rows with the number of partitions of their topic, NULL for topics that were not created."""
@@ -216,7 +232,7 @@ class TopicLog:
             rows = rows.withColumn("timestamp", F.current_timestamp())
         return rows.join(counts, "topic", "left")
 
-    def _write(self, numbered: DataFrame, append_id: str) -> None:
+    def _write(self, numbered: DataFrame, append_id: str, total: int) -> None:
         # The append's own earlier attempt must not count, or a repeat would shift its offsets.
         log = self.within(numbered.sparkSession)
         ends = broadcast_if_small(pinned(
@@ -229,3 +245,6 @@ class TopicLog:
             .write.mode("overwrite").partitionBy(*PARTITION_KEYS)
             .parquet(os.path.join(self.path, f"append={append_id}"))
         )
+        stored = log.extents().where(F.col("append") == append_id).agg(F.sum("messages")).first()[0] or 0 if total else 0
+        if stored != total:
+            raise AppendError(f"append {append_id!r} was given {total} messages and stored {stored}")
