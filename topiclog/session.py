@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not path:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="topiclog-")
         spark.conf.set("spark.checkpoint.dir", path)

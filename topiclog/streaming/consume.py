@@ -12,14 +12,14 @@ import os
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topiclog.errors import ProcessingError
 from topiclog.operators.assignment import changes
 from topiclog.operators.offsets import lag, offsets_metadata, processed, watermarks
-from topiclog.session import pinned
 from topiclog.sources.ledger import CommitLedger
 
 _log = logging.getLogger(__name__)
@@ -36,6 +36,7 @@ def consume(
     storage: str | None = None,
     auto_commit: bool = True,
     starts: DataFrame | None = None,
+    heads: Callable[[SparkSession], DataFrame] | None = None,
     watch: PartitionWatch | None = None,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
@@ -43,13 +44,14 @@ def consume(
 
     A log directory may deliver the files of one append in any order. Give ``starts`` (``topic, partition,
     start``, the offsets the stream begins at) for such a source: a partition is then committed only
-    once nothing before the commit is missing.
+    once nothing before the commit is missing. The first run stores them. ``heads`` gives the partitions
+    with their ``next_offset``, where those start that were added since.
 
     The trigger sets how often that is: ``{"availableNow": True}`` reads what is there and stops,
     ``{"processingTime": "1 second"}`` goes on. With ``auto_commit`` off, ``process`` commits through
     the ledger itself, all it processed or a part.
     """
-    progress = None if starts is None else _Progress(os.path.join(checkpoint, "progress"), starts)
+    progress = None if starts is None else _Progress(os.path.join(checkpoint, "progress"), starts, heads)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if watch is not None:
@@ -68,25 +70,75 @@ def consume(
     )
 
 
+# Snapshots kept per stream: the last one is read, and a micro-batch that runs again finds the one before it.
+_SLOTS = 4
+
+
+def _slot(path: str, batch_id: int) -> str:
+    return os.path.join(path, f"slot={batch_id % _SLOTS}")
+
+
+def _snapshot(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """The table that micro-batch ``batch_id`` left; empty if there is none."""
+    if batch_id >= 0:
+        try:
+            return spark.read.schema(schema + ", batch_id bigint").parquet(_slot(path, batch_id)).where(F.col("batch_id") == batch_id).drop("batch_id")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return spark.createDataFrame([], schema)
+
+
+def _keep(rows: DataFrame, path: str, batch_id: int) -> None:
+    rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(_slot(path, batch_id))
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """``topic, partition, first, last`` ranges of offsets with those that overlap or touch made one."""
+    order = Window.partitionBy(*_KEYS).orderBy("first", "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("first") <= reach + 1, 0).otherwise(1)
+    return (
+        ranges.withColumn("_opens", opens).withColumn("_range", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*_KEYS, "_range").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_range")
+    )
+
+
 class _Progress:
-    """Per partition, how many messages came and the highest offset; one small table per micro-batch."""
+    """Per partition, the ranges of offsets that came; one small table per micro-batch, a few of them kept.
 
-    def __init__(self, path: str, starts: DataFrame):
+    Messages that come twice, as those of a repeated append, change no range. The starts are stored with the first run,
+    so a restart goes on from the same ones. A partition that was not among them, being new, starts at its
+    ``next_offset`` in ``heads``, or at 0.
+    """
+
+    _RANGES = "topic string, partition int, first bigint, last bigint"
+
+    def __init__(self, path: str, starts: DataFrame, heads: Callable[[SparkSession], DataFrame] | None):
         self._path = path
-        self._starts = pinned(starts)
+        self._heads = heads
+        starts.select(*_KEYS, F.col("start").cast("bigint")).write.mode("ignore").parquet(os.path.join(path, "starts"))
 
     def committable(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Offsets behind the highest message of the partitions of which everything from the start on has come."""
-        schema = "topic string, partition int, came bigint, last bigint"
-        total = batch.groupBy(*_KEYS).agg(F.count("*").alias("came"), F.max("offset").alias("last"))
-        if batch_id > 0:
-            before = batch.sparkSession.read.schema(schema).parquet(f"{self._path}/batch_id={batch_id - 1}")
-            total = total.unionByName(before).groupBy(*_KEYS).agg(F.sum("came").alias("came"), F.max("last").alias("last"))
-        here = f"{self._path}/batch_id={batch_id}"
-        total.write.mode("overwrite").parquet(here)
+        """Offsets behind the last message of each partition before which nothing is missing."""
+        spark = batch.sparkSession
+        offsets = batch.select(*_KEYS, "offset").distinct()
+        # The rows of a micro-batch: neighbours have the same distance to their place.
+        place = F.row_number().over(Window.partitionBy(*_KEYS).orderBy("offset"))
+        came = (
+            offsets.withColumn("_run", F.col("offset") - place).groupBy(*_KEYS, "_run")
+            .agg(F.min("offset").alias("first"), F.max("offset").alias("last")).drop("_run")
+        )
+        before = _snapshot(spark, self._path, batch_id - 1, self._RANGES)
+        _keep(merged_ranges(came.unionByName(before)), self._path, batch_id)
+        starts = spark.read.schema("topic string, partition int, start bigint").parquet(os.path.join(self._path, "starts"))
+        if self._heads is not None:
+            heads = self._heads(spark).select(*_KEYS, "next_offset")
+            starts = heads.join(starts, _KEYS, "full").select(*_KEYS, F.coalesce("start", "next_offset").alias("start"))
         return (
-            batch.sparkSession.read.schema(schema).parquet(here).join(self._starts, _KEYS)
-            .where(F.col("came") == F.col("last") - F.col("start") + 1)
+            _snapshot(spark, self._path, batch_id, self._RANGES).join(starts, _KEYS, "left")
+            .withColumn("start", F.coalesce("start", F.lit(0)))
+            .where((F.col("first") <= F.col("start")) & (F.col("last") >= F.col("start")))
             .select(*_KEYS, (F.col("last") + 1).alias("offset"))
         )
 
@@ -111,13 +163,10 @@ class PartitionWatch:
         self._after = after
 
     def check(self, spark: SparkSession, batch_id: int) -> None:
-        now = self._catalog(spark).select(*_KEYS).distinct()
-        snapshot = os.path.join(self._path, f"batch_id={batch_id}")
-        now.write.mode("overwrite").parquet(snapshot)
-        stored = spark.read.schema("topic string, partition int, batch_id bigint").parquet(self._path)
-        last = stored.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-        before = stored.where(F.col("batch_id") == F.lit(last))
-        after = stored.where(F.col("batch_id") == batch_id)
+        partitions = "topic string, partition int"
+        _keep(self._catalog(spark).select(*_KEYS).distinct(), self._path, batch_id)
+        before = _snapshot(spark, self._path, batch_id - 1, partitions)
+        after = _snapshot(spark, self._path, batch_id, partitions)
         changed = changes(before, after, _KEYS).where(F.col("change") != "kept")
         gone = changed.where(F.col("change") == "removed").select(*_KEYS)
         new = changed.where(F.col("change") == "added").select(*_KEYS)
@@ -227,4 +276,4 @@ def close(query: StreamingQuery, final_commit: Callable[[], Any] | None = None)
         try:
             final_commit()
         except Exception:
-            _log.exception("last commit failed; offsets may not have been committed")
+            _log.exception("stopped without the final commit; the group will read some messages again")
