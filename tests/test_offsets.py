@@ -6,10 +6,10 @@ from topiclog.errors import InvalidStorageError, UnknownPartitionError, UnknownT
 from topiclog.operators import messages, offsets
 from topiclog.operators.requests import checked_partitions, offsets_frame, requests_frame
 
-GROUP = "group_name"
-MARKS = [("topic1", 0, 10, 30), ("topic1", 1, 5, 30), ("topic1", 2, 3, 30), ("topic2", 0, 5, 50), ("topic2", 1, 5, 50)]
-COMMITS = {("topic1", 0): 30, ("topic1", 1): 20, ("topic1", 2): 10, ("topic2", 0): 15}
-BOTH = ["topic1", "topic2"]
+GROUP = "readers"
+MARKS = [("orders", 0, 11, 42), ("orders", 1, 6, 37), ("orders", 2, 4, 33), ("clicks", 0, 8, 61), ("clicks", 1, 7, 54)]
+COMMITS = {("orders", 0): 42, ("orders", 1): 25, ("orders", 2): 12, ("clicks", 0): 19}
+BOTH = ["orders", "clicks"]
 
 
 @pytest.fixture(scope="module")
@@ -42,65 +42,88 @@ def current(spark, catalog, ledger, topics=BOTH, group=GROUP, storage=None, **ho
     return as_dict(offsets.positions(wanted(spark, catalog, topics, **how), ledger.commits(), group, storage))
 
 
-@pytest.mark.parametrize("topics", ["topic1", 7, None])
+@pytest.mark.parametrize("topics", ["orders", 7, None])
 def test_topics_of_a_wrong_type(spark, topics):
     with pytest.raises(TypeError):
         requests_frame(spark, topics)
 
 
 def test_unknown_topic(spark, catalog, ledger):
-    with pytest.raises(UnknownTopicError, match="something"):
-        wanted(spark, catalog, ["something", "topic1"])
-    assert current(spark, catalog, ledger, ["something"], raise_on_error=False) == {}
+    with pytest.raises(UnknownTopicError, match="absent"):
+        wanted(spark, catalog, ["absent", "orders"])
+    assert current(spark, catalog, ledger, ["absent"], raise_on_error=False) == {}
 
 
 def test_unknown_partitions(spark, catalog, ledger):
-    with pytest.raises(UnknownPartitionError, match="99"):
-        wanted(spark, catalog, {"topic1": [99]})
-    with pytest.raises(UnknownPartitionError, match="99"):
-        wanted(spark, catalog, {"topic1": [1, 99]})
-    assert current(spark, catalog, ledger, {"topic1": [99]}, raise_on_error=False) == {}
-    assert current(spark, catalog, ledger, {"topic1": [1, 99]}, raise_on_error=False) == {("topic1", 1): 20}
+    with pytest.raises(UnknownPartitionError, match="88"):
+        wanted(spark, catalog, {"orders": [88]})
+    with pytest.raises(UnknownPartitionError, match="88"):
+        wanted(spark, catalog, {"orders": [1, 88]})
+    assert current(spark, catalog, ledger, {"orders": [88]}, raise_on_error=False) == {}
+    assert current(spark, catalog, ledger, {"orders": [1, 88]}, raise_on_error=False) == {("orders", 1): 25}
 
 
-@pytest.mark.parametrize("topics", [["topic1"], {"topic1"}, ("topic1",), {"topic1": []}, {"topic1": [0, 1, 2]}])
+@pytest.mark.parametrize("topics", [["orders"], {"orders"}, ("orders",), {"orders": []}, {"orders": [0, 1, 2]}])
 def test_committed_offsets(spark, catalog, ledger, topics):
-    assert current(spark, catalog, ledger, topics) == {("topic1", 0): 30, ("topic1", 1): 20, ("topic1", 2): 10}
+    assert current(spark, catalog, ledger, topics) == {("orders", 0): 42, ("orders", 1): 25, ("orders", 2): 12}
 
 
 def test_unknown_storage(spark, catalog, ledger):
     with pytest.raises(InvalidStorageError):
-        current(spark, catalog, ledger, storage="random_string")
+        current(spark, catalog, ledger, storage="elsewhere")
     with pytest.raises(InvalidStorageError):
-        ledger.commit(GROUP, offsets_frame(spark, {"topic1": {0: 1}}), "random_string")
+        ledger.commit(GROUP, offsets_frame(spark, {"orders": {0: 1}}), "elsewhere")
 
 
 def test_storages_are_apart(spark, catalog, ledger):
     assert set(current(spark, catalog, ledger, storage="kafka").values()) == {0}
-    ledger.commit(GROUP, offsets_frame(spark, {"topic1": {0: 3}}), "dual")
-    assert current(spark, catalog, ledger, storage="kafka")[("topic1", 0)] == 3
-    assert current(spark, catalog, ledger, storage="zookeeper")[("topic1", 0)] == 3
+    ledger.commit(GROUP, offsets_frame(spark, {"orders": {0: 3}}), "dual")
+    assert current(spark, catalog, ledger, storage="kafka")[("orders", 0)] == 3
+    assert current(spark, catalog, ledger, storage="zookeeper")[("orders", 0)] == 3
 
 
 def test_commit_of_minus_one_counts_as_none(spark, catalog, ledger):
-    ledger.commit(GROUP, offsets_frame(spark, {"topic1": {0: -1}}))
-    assert current(spark, catalog, ledger)[("topic1", 0)] == 0
+    ledger.commit(GROUP, offsets_frame(spark, {"orders": {0: -1}}))
+    assert current(spark, catalog, ledger)[("orders", 0)] == 0
 
 
 def test_watermark_responses(spark, rows):
     responses = spark.createDataFrame(
-        [("topic1", 0, "low", 10, 0), ("topic1", 0, "high", 30, 0), ("topic1", 1, "low", 5, 6), ("topic1", 1, "high", 30, 6)],
+        [("orders", 0, "low", 13, 0), ("orders", 0, "high", 77, 0), ("orders", 1, "low", 2, 3), ("orders", 1, "high", 78, 3)],
         "topic string, partition int, kind string, offset bigint, error int")
-    assert rows(offsets.response_watermarks(responses)) == [("topic1", 0, 10, 30), ("topic1", 1, -1, -1)]
-    assert rows(offsets.failed(responses).select("topic", "partition").distinct()) == [("topic1", 1)]
+    assert rows(offsets.response_watermarks(responses)) == [("orders", 0, 13, 77), ("orders", 1, -1, -1)]
+    assert rows(offsets.failed(responses).select("topic", "partition").distinct()) == [("orders", 1)]
 
 
 def test_failed_watermarks_are_not_committed(spark, rows):
-    failed = spark.createDataFrame([("topic1", 0, 10, 30), ("topic1", 1, -1, -1)],
+    failed = spark.createDataFrame([("orders", 0, 14, 71), ("orders", 1, -1, -1)],
                                    "topic string, partition int, lowmark bigint, highmark bigint")
-    assert rows(offsets.advanced(failed, failed)) == [("topic1", 0, 30)]
-    assert rows(offsets.rewound(failed, failed)) == [("topic1", 0, 10)]
-    assert rows(offsets.uncommittable(failed, failed)) == [("topic1", 1, "watermark not available")]
+    assert rows(offsets.advanced(failed, failed)) == [("orders", 0, 71)]
+    assert rows(offsets.rewound(failed, failed)) == [("orders", 0, 14)]
+    assert rows(offsets.uncommittable(failed, failed, "highmark")) == [("orders", 1, "highmark not available")]
+
+
+def test_errors_are_those_of_the_mark_used(spark, rows, path):
+    """One mark failed: the other can still be committed. A partition without marks is an error for both."""
+    marks = spark.createDataFrame([("a", 0, -1, 50), ("a", 1, 7, -1)], "topic string, partition int, lowmark bigint, highmark bigint")
+    asked = spark.createDataFrame([("a", 0), ("a", 1), ("a", 2)], "topic string, partition int")
+    ledger = CommitLedger.create(spark, path("errors"))
+    assert rows(ledger.advance("g", asked, marks)) == [("a", 1, "highmark not available"), ("a", 2, "highmark not available")]
+    assert rows(offsets.current_commits(ledger.commits()).select("topic", "partition", "offset").distinct()) == [("a", 0, 50)]
+    assert rows(ledger.rewind("h", asked, marks)) == [("a", 0, "lowmark not available"), ("a", 2, "lowmark not available")]
+    with pytest.raises(ValueError):
+        offsets.uncommittable(asked, marks, "middle")
+
+
+def test_commits_of_messages_through_the_ledger(spark, rows, path):
+    read = spark.createDataFrame([("a", 0, 3), ("a", 0, 4), ("a", 1, 9), ("b", 0, 1)], "topic string, partition int, offset bigint")
+    some = spark.createDataFrame([("a", 0), ("b", 0)], "topic string, partition int")
+    ledger = CommitLedger.create(spark, path("messages"))
+    ledger.commit_processed("g", read, storage="kafka")
+    ledger.commit_processed("h", read, some, "kafka")
+    ledger.commit_message("i", read.where("topic = 'a' and offset = 3"), storage="kafka")
+    found = offsets.current_commits(ledger.commits()).select("group_id", "topic", "partition", "offset")
+    assert rows(found) == [("g", "a", 0, 5), ("g", "a", 1, 10), ("g", "b", 0, 2), ("h", "a", 0, 5), ("h", "b", 0, 2), ("i", "a", 0, 3)]
 
 
 def test_advance(spark, catalog, marks, ledger):
@@ -120,19 +143,19 @@ def set_offsets(spark, catalog, ledger, new, **how):
 
 
 def test_set_offsets(spark, catalog, ledger):
-    found = set_offsets(spark, catalog, ledger, {"topic1": {0: 100, 1: 200}, "topic2": {0: 150, 1: 300}})
-    assert found == {("topic1", 0): 100, ("topic1", 1): 200, ("topic1", 2): 10, ("topic2", 0): 150, ("topic2", 1): 300}
+    found = set_offsets(spark, catalog, ledger, {"orders": {0: 70, 1: 260}, "clicks": {0: 135, 1: 410}})
+    assert found == {("orders", 0): 70, ("orders", 1): 260, ("orders", 2): 12, ("clicks", 0): 135, ("clicks", 1): 410}
 
 
 def test_set_offsets_skips_unknown_partitions(spark, catalog, ledger):
-    new = {"topic1": {0: 100, 23: 1, 11: 2}, "topic2": {21: 3}}
+    new = {"orders": {0: 70, 17: 1, 9: 2}, "clicks": {31: 3}}
     assert set_offsets(spark, catalog, ledger, new, raise_on_error=False) == {
-        **{(t, p): 0 for t, p, _, _ in MARKS}, **COMMITS, ("topic1", 0): 100}
+        **{(t, p): 0 for t, p, _, _ in MARKS}, **COMMITS, ("orders", 0): 70}
     with pytest.raises(UnknownPartitionError):
         set_offsets(spark, catalog, ledger, new)
 
 
-@pytest.mark.parametrize("new", [["topic1"], {"topic1": [0]}, "topic1"])
+@pytest.mark.parametrize("new", [["orders"], {"orders": [0]}, "orders"])
 def test_new_offsets_of_a_wrong_type(spark, new):
     with pytest.raises(TypeError):
         offsets_frame(spark, new)
@@ -143,14 +166,14 @@ def metadata(spark, catalog, marks, ledger, topics=BOTH, group=GROUP):
 
 
 def test_offsets_metadata(spark, catalog, marks, ledger, rows):
-    assert rows(metadata(spark, catalog, marks, ledger, {"topic1": [1]})) == [("topic1", 1, 20, 30, 5)]
+    assert rows(metadata(spark, catalog, marks, ledger, {"orders": [1]})) == [("orders", 1, 25, 37, 6)]
 
 
 def test_lag(spark, catalog, marks, ledger):
-    assert as_dict(offsets.lag(metadata(spark, catalog, marks, ledger, {"topic1": [1, 2]}))) == {
-        ("topic1", 1): 10, ("topic1", 2): 20}
+    assert as_dict(offsets.lag(metadata(spark, catalog, marks, ledger, {"orders": [1, 2]}))) == {
+        ("orders", 1): 12, ("orders", 2): 21}
     assert as_dict(offsets.lag(metadata(spark, catalog, marks, ledger))) == {
-        ("topic1", 0): 0, ("topic1", 1): 10, ("topic1", 2): 20, ("topic2", 0): 35, ("topic2", 1): 50}
+        ("orders", 0): 0, ("orders", 1): 12, ("orders", 2): 21, ("clicks", 0): 42, ("clicks", 1): 54}
 
 
 def test_lag_of_an_unknown_group_is_the_high_mark(spark, catalog, marks, ledger):
@@ -160,23 +183,23 @@ def test_lag_of_an_unknown_group_is_the_high_mark(spark, catalog, marks, ledger)
 
 def test_lag_by_topic(spark, catalog, marks, ledger):
     found = offsets.by_topic(offsets.lag(metadata(spark, catalog, marks, ledger)), "lag")
-    assert {r.topic: r.lag for r in found.collect()} == {"topic1": {0: 0, 1: 10, 2: 20}, "topic2": {0: 35, 1: 50}}
+    assert {r.topic: r.lag for r in found.collect()} == {"orders": {0: 0, 1: 12, 2: 21}, "clicks": {0: 42, 1: 54}}
 
 
 def test_reader_without_a_commit_follows_the_reset_policy(spark, catalog, marks, ledger):
-    for reset, at in (("smallest", 5), ("largest", 50)):
+    for reset, at in (("smallest", 7), ("largest", 54)):
         found = as_dict(offsets.start_positions(catalog, ledger.commits(), marks, GROUP, reset))
-        assert found == {**COMMITS, ("topic2", 1): at}
+        assert found == {**COMMITS, ("clicks", 1): at}
 
 
 def test_last_write_wins_and_entries_replace_themselves(spark, ledger):
-    one = offsets_frame(spark, {"topic2": {1: 40}})
+    one = offsets_frame(spark, {"clicks": {1: 40}})
     ledger.commit(GROUP, one, entry="batch-0")
-    ledger.commit(GROUP, offsets_frame(spark, {"topic2": {1: 7}}), entry="batch-1")
-    ledger.commit(GROUP, offsets_frame(spark, {"topic2": {1: 9}}), entry="batch-1")
-    found = ledger.commits().where("topic = 'topic2' and partition = 1").orderBy("commit_seq").collect()
+    ledger.commit(GROUP, offsets_frame(spark, {"clicks": {1: 7}}), entry="batch-1")
+    ledger.commit(GROUP, offsets_frame(spark, {"clicks": {1: 9}}), entry="batch-1")
+    found = ledger.commits().where("topic = 'clicks' and partition = 1").orderBy("commit_seq").collect()
     assert [(r.offset, r.commit_seq) for r in found] == [(40, 2), (9, 3)]
-    last = offsets.current_commits(ledger.commits()).where("topic = 'topic2' and partition = 1").first()
+    last = offsets.current_commits(ledger.commits()).where("topic = 'clicks' and partition = 1").first()
     assert last.offset == 9
 
 
@@ -188,16 +211,16 @@ def log_of(spark, *positions):
 
 
 def test_commit_after_processing_and_commit_of_a_message(spark, rows):
-    read = log_of(spark, ("t", 0, 99), ("t", 0, 100), ("t", 1, 3))
-    assert rows(offsets.processed(read)) == [("t", 0, 101), ("t", 1, 4)]
-    assert rows(offsets.up_to_message(read)) == [("t", 0, 100), ("t", 1, 3)]
+    read = log_of(spark, ("t", 0, 41), ("t", 0, 42), ("t", 1, 3))
+    assert rows(offsets.processed(read)) == [("t", 0, 43), ("t", 1, 4)]
+    assert rows(offsets.up_to_message(read)) == [("t", 0, 42), ("t", 1, 3)]
 
 
 def test_four_field_message(spark, rows):
-    read = spark.createDataFrame([("t", 1, 12345, b"test_key", b"test_content")], MESSAGES)
+    read = spark.createDataFrame([("t", 1, 777, b"a key", b"a payload")], MESSAGES)
     found = messages.without_topic(read)
     assert found.columns == ["partition", "offset", "key", "value"]
-    assert rows(found) == [(1, 12345, b"test_key", b"test_content")]
+    assert rows(found) == [(1, 777, b"a key", b"a payload")]
 
 
 def test_first_messages(spark, rows):

@@ -114,12 +114,15 @@ def _at_mark(partitions: DataFrame, marks: DataFrame, mark: str) -> DataFrame:
     )
 
 
-def uncommittable(partitions: DataFrame, marks: DataFrame) -> DataFrame:
-    """Error rows for partitions that :func:`advanced` and :func:`rewound` leave alone."""
+def uncommittable(partitions: DataFrame, marks: DataFrame, mark: str) -> DataFrame:
+    """``topic, partition, error`` for partitions that :func:`advanced` (``mark`` highmark) or :func:`rewound` (lowmark)
+    leaves alone: those whose mark failed or is not known."""
+    if mark not in ("lowmark", "highmark"):
+        raise ValueError(f"mark must be lowmark or highmark, not {mark!r}")
     return (
-        partitions.select(*KEYS).join(marks, KEYS)
-        .where((F.col("lowmark") < 0) | (F.col("highmark") < 0))
-        .select(*KEYS, F.lit("watermark not available").alias("error"))
+        partitions.select(*KEYS).join(marks, KEYS, "left")
+        .where(F.coalesce(F.col(mark), F.lit(-1)) < 0)
+        .select(*KEYS, F.concat(F.lit(mark), F.lit(" not available")).alias("error"))
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from topiclog import schemas
 from topiclog.functions.positions import write_storages
+from topiclog.operators import offsets
 from topiclog.sources.log import footer_scan
 
 _COLUMNS = [f.name for f in schemas.COMMITS if f.name != "entry"]
@@ -50,19 +51,48 @@ class CommitLedger:
             tops = tops.where(F.col("entry") != without_entry)
         return (tops.agg(F.max("top")).first()[0] or 0) + 1
 
-    def commit(self, group_id: str, offsets: DataFrame, storage: str | None = None, entry: str | None = None) -> DataFrame:
+    def commit(self, group_id: str, positions: DataFrame, storage: str | None = None, entry: str | None = None) -> DataFrame:
         """Commit ``topic, partition, offset`` rows of one group to one or both storages.
 
-        ``offsets`` holds one row per partition. An ``entry`` repeated (a micro-batch run again) replaces the
+        ``positions`` holds one row per partition. An ``entry`` repeated (a micro-batch run again) replaces the
         earlier one under the same rules. Returns the rows as stored.
         """
         storages = write_storages(storage)
-        ledger = self.within(offsets.sparkSession)
+        ledger = self.within(positions.sparkSession)
         seq = ledger.next_seq(without_entry=entry)
         entry = entry or f"manual-{seq:012d}"
-        ledger.load(commit_rows(group_id, offsets, storages, seq), entry)
+        ledger.load(commit_rows(group_id, positions, storages, seq), entry)
         return ledger.spark.read.schema(schemas.COMMITS).parquet(self.path).where(F.col("entry") == entry).select(*_COLUMNS)
 
+    def commit_processed(self, group_id: str, messages: DataFrame, partitions: DataFrame | None = None,
+                         storage: str | None = None, entry: str | None = None) -> DataFrame:
+        """Commit behind the last of the processed messages, of all partitions or of the given ones."""
+        return self.commit(group_id, offsets.processed(_chosen(messages, partitions)), storage, entry)
+
+    def commit_message(self, group_id: str, messages: DataFrame, partitions: DataFrame | None = None,
+                       storage: str | None = None, entry: str | None = None) -> DataFrame:
+        """Commit a message itself (of several, the last of each partition): a restart reads it again."""
+        return self.commit(group_id, offsets.up_to_message(_chosen(messages, partitions)), storage, entry)
+
+    def advance(self, group_id: str, partitions: DataFrame, marks: DataFrame, storage: str | None = None,
+                entry: str | None = None) -> DataFrame:
+        """Commit the end of each partition; returns ``topic, partition, error`` of those that could not be."""
+        return self._to_mark(group_id, partitions, marks, "highmark", storage, entry)
+
+    def rewind(self, group_id: str, partitions: DataFrame, marks: DataFrame, storage: str | None = None,
+               entry: str | None = None) -> DataFrame:
+        """Commit the start of each partition; returns ``topic, partition, error`` of those that could not be."""
+        return self._to_mark(group_id, partitions, marks, "lowmark", storage, entry)
+
+    def _to_mark(self, group_id, partitions, marks, mark, storage, entry) -> DataFrame:
+        at_mark = offsets.advanced if mark == "highmark" else offsets.rewound
+        self.commit(group_id, at_mark(partitions, marks), storage, entry)
+        return offsets.uncommittable(partitions, marks, mark)
+
+
+def _chosen(messages: DataFrame, partitions: DataFrame | None) -> DataFrame:
+    return messages if partitions is None else messages.join(partitions.select("topic", "partition"), ["topic", "partition"], "left_semi")
+
 
 def commit_rows(group_id: str, offsets: DataFrame, storages: list[str], seq: int) -> DataFrame:
     """One ledger row per partition and storage."""
