@@ -14,37 +14,52 @@ def values(spark, column, **columns):
 
 
 def test_make_topic(spark):
-    found = values(spark, names.make_topic(F.col("d"), F.col("s")), d=("string", ["datacenter"]), s=("string", ["scribe_stream"]))
-    assert found == ["scribe.datacenter.scribe_stream"]
+    found = values(spark, names.make_topic(F.col("d"), F.col("s")), d=("string", ["ams-3"]), s=("string", ["page_views"]))
+    assert found == ["scribe.ams-3.page_views"]
 
 
 def test_parse_topic(spark):
-    topics = ["scribe.uswest1-devc.ranger", "scribe.uswest1-devc.mylogfile.log"]
+    topics = ["scribe.ams-3.orders", "scribe.lhr.nginx.access.json"]
     topic = F.col("t")
-    assert values(spark, names.topic_datacenter(topic), t=("string", topics)) == ["uswest1-devc", "uswest1-devc"]
-    assert values(spark, names.topic_stream(topic), t=("string", topics)) == ["ranger", "mylogfile.log"]
+    assert values(spark, names.topic_datacenter(topic), t=("string", topics)) == ["ams-3", "lhr"]
+    assert values(spark, names.topic_stream(topic), t=("string", topics)) == ["orders", "nginx.access.json"]
 
 
 def test_malformed_topics(spark):
-    topics = ["scribeuswest1-devcranger", "scribe.uswest1-devcranger", "scribble.uswest1-devc.ranger", "", "scribe.."]
+    topics = ["orders", "scribe.orders", "other.ams-3.orders", "", "scribe.."]
     topic = F.col("t")
     assert values(spark, names.is_well_formed(topic), t=("string", topics)) == [False, False, False, False, True]
     assert values(spark, names.topic_stream(topic), t=("string", topics)) == [None, None, None, None, ""]
 
 
+def test_parsing_that_raises(spark):
+    from topiclog.errors import TopicNameError
+    topic = F.col("t")
+    assert values(spark, names.parsed_datacenter(topic), t=("string", ["scribe.lhr.a.b"])) == ["lhr"]
+    assert values(spark, names.parsed_stream(topic), t=("string", ["scribe.lhr.a.b"])) == ["a.b"]
+    assert names.split_topic("scribe.lhr.a.b") == ("lhr", "a.b")
+    for wrong in ("scribe.lhr", "other.lhr.a"):
+        with pytest.raises(ValueError, match="not a well-formed"):
+            names.split_topic(wrong)
+        with pytest.raises(Exception, match="not a well-formed"):
+            values(spark, names.parsed_stream(topic), t=("string", [wrong]))
+    with pytest.raises(TopicNameError):
+        names.split_topic("")
+
+
 def test_units_are_cut_at_the_last_dash(spark):
-    units = ["topic1-0", "topic1-2", "topic-2-1"]
-    assert values(spark, names.unit_topic(F.col("u")), u=("string", units)) == ["topic1", "topic1", "topic-2"]
-    assert values(spark, names.unit_partition(F.col("u")), u=("string", units)) == [0, 2, 1]
-    assert values(spark, names.unit_name(F.col("t"), F.col("p")), t=("string", ["topic-2"]), p=("int", [1])) == ["topic-2-1"]
+    units = ["orders-4", "orders-12", "page-views-3"]
+    assert values(spark, names.unit_topic(F.col("u")), u=("string", units)) == ["orders", "orders", "page-views"]
+    assert values(spark, names.unit_partition(F.col("u")), u=("string", units)) == [4, 12, 3]
+    assert values(spark, names.unit_name(F.col("t"), F.col("p")), t=("string", ["page-views"]), p=("int", [3])) == ["page-views-3"]
 
 
 def test_group_path(spark):
-    topics = ["topic2", "topic1"]
+    topics = ["views", "orders"]
     digest = hashlib.sha1(repr(sorted(topics)).encode()).hexdigest()
-    frame = dict(g=("string", ["test_group"]), t=("array<string>", [topics]))
-    assert values(spark, names.group_path(F.col("g"), F.col("t"), "/base"), **frame) == [f"/base/test_group/{digest}"]
-    assert values(spark, names.group_path(F.col("g"), F.col("t"), "/base", by_topics=False), **frame) == ["/base/test_group"]
+    frame = dict(g=("string", ["billing"]), t=("array<string>", [topics]))
+    assert values(spark, names.group_path(F.col("g"), F.col("t"), "/base"), **frame) == [f"/base/billing/{digest}"]
+    assert values(spark, names.group_path(F.col("g"), F.col("t"), "/base", by_topics=False), **frame) == ["/base/billing"]
 
 
 def test_text_and_bytes(spark):

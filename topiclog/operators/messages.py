@@ -79,8 +79,19 @@ def process_messages(
 ) -> DataFrame:
     """Results of user code that gets batches of messages in offset order.
 
-    A failure stops the job and names the first message of the failing batch.
+    A failure stops the job and names the message: the batch is gone through again one message at a time, and
+    if none fails alone, the error names the first and last message of the batch.
     """
+    def failing(batch: pd.DataFrame) -> str:
+        for i in range(len(batch)):
+            try:
+                process(batch.iloc[i:i + 1])
+            except Exception:
+                one = batch.iloc[i]
+                return f"at {one.topic}-{one.partition} offset {one.offset}"
+        first, last = batch.iloc[0], batch.iloc[-1]
+        return f"between {first.topic}-{first.partition} offset {first.offset} and {last.topic}-{last.partition} offset {last.offset}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
@@ -88,9 +99,6 @@ def process_messages(
             try:
                 yield process(batch)
             except Exception as cause:
-                first = batch.iloc[0]
-                raise ProcessingError(
-                    f"processing failed at or after {first.topic}-{first.partition} offset {first.offset}: {cause!r}"
-                ) from cause
+                raise ProcessingError(f"processing failed {failing(batch)}: {cause!r}") from cause
 
     return in_offset_order(messages, whole_partitions).mapInPandas(run, schema)

@@ -69,13 +69,18 @@ def valid_partitions(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
+def _listing(what: str, named: list, all_of_them: DataFrame) -> str:
+    count = len(named) if len(named) < _NAMED_IN_ERROR else all_of_them.count()
+    return f"{count} {what} do not exist: {named}{' and others' if count > len(named) else ''}"
+
+
 def checked_partitions(requests: DataFrame, catalog: DataFrame, raise_on_error: bool = True) -> DataFrame:
     """:func:`valid_partitions`, after raising for anything unknown unless told to skip it."""
     if raise_on_error:
-        topics = unknown_topics(requests, catalog).limit(_NAMED_IN_ERROR).collect()
-        if topics:
-            raise UnknownTopicError(f"topics do not exist: {sorted(r.topic for r in topics)}")
-        lost = unknown_partitions(requests, catalog).limit(_NAMED_IN_ERROR).collect()
-        if lost:
-            raise UnknownPartitionError(f"partitions do not exist: {sorted((r.topic, r.partition) for r in lost)}")
+        topics = unknown_topics(requests, catalog)
+        if named := topics.limit(_NAMED_IN_ERROR).collect():
+            raise UnknownTopicError(_listing("topics", sorted(r.topic for r in named), topics))
+        lost = unknown_partitions(requests, catalog)
+        if named := lost.limit(_NAMED_IN_ERROR).collect():
+            raise UnknownPartitionError(_listing("partitions", sorted((r.topic, r.partition) for r in named), lost))
     return valid_partitions(requests, catalog)

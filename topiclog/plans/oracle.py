@@ -59,6 +59,9 @@ _VIEWS = {
     "v_events": f"""SELECT 'scribe.dc' || (user_id % 2) || '.' || event_type AS topic,
         {_partition("CAST(user_id AS VARCHAR)", 4)} AS "partition",
         CAST(user_id AS VARCHAR) AS "key", props AS "value", ts, event_id FROM events""",
+    "v_mixed": f"""SELECT topic, {_partition('coalesce("key", "value")', 4)} AS "partition", "key", "value", event_id FROM (
+        SELECT topic, CASE WHEN CAST("key" AS BIGINT) % 3 <> 0 THEN "key" END AS "key", "value", event_id FROM v_events)""",
+    "v_mixed_log": _log("v_mixed", "v_event_parts", "event_id"),
     "v_event_parts": _parts("v_events", 4, 100),
     "v_event_log": _log("v_events", "v_event_parts", "event_id"),
     "v_event_marks": _marks("v_event_log", "v_event_parts"),
@@ -161,7 +164,7 @@ _BODIES = {
     "scan_topics_regex": f"SELECT {_MESSAGE} FROM v_event_log WHERE regexp_matches(topic, '^(?:scribe\\.dc1\\.(click|sign))')",
     "scan_assigned": f"""SELECT {_MESSAGE} FROM v_event_log l WHERE EXISTS (
         SELECT 1 FROM v_valid v WHERE v.topic = l.topic AND v."partition" = l."partition")""",
-    "project_message": """SELECT "partition", "offset", "key", "value" FROM v_shipment_log WHERE topic = 'scribe.dcA.ship_O'""",
+    "project_message": """SELECT "partition", "offset", "key", "value" FROM v_shipment_log""",
     "poll_n": f"""SELECT {_MESSAGE} FROM ({_backlog("v_event_log", "v_event_meta")})
         QUALIFY row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") <= 5""",
     "read_from_start_smallest": _start("lowmark"),
@@ -180,6 +183,7 @@ _BODIES = {
         WHERE "offset" - previous <> 1 GROUP BY topic, "partition", previous, "offset" """,
     "assign_offsets": """SELECT topic, "partition", "offset" - base AS "offset", "key", "value" FROM v_shipment_log""",
     "append_keyed": f"SELECT {_MESSAGE} FROM v_event_log",
+    "append_mixed_keys": f"SELECT {_MESSAGE} FROM v_mixed_log",
     "append_unkeyed": """SELECT topic, "partition", turn // 4 + 100 * ("partition" + 1) AS "offset", CAST(NULL AS VARCHAR) AS "key", "value"
         FROM (SELECT topic, CAST(turn % 4 AS INTEGER) AS "partition", turn, "value" FROM (
         SELECT *, row_number() OVER (PARTITION BY topic ORDER BY event_id) - 1 AS turn FROM v_events))""",
@@ -192,7 +196,9 @@ _BODIES = {
         min(CASE WHEN kind = 'low' THEN CASE WHEN error <> 0 THEN -1 ELSE "offset" END END) AS lowmark,
         min(CASE WHEN kind = 'high' THEN CASE WHEN error <> 0 THEN -1 ELSE "offset" END END) AS highmark
         FROM ({_RESPONSES}) GROUP BY topic, "partition" """,
-    "commit_errors": f"SELECT * FROM ({_RESPONSES}) WHERE error <> 0",
+    "commit_errors": f"""SELECT DISTINCT p.topic, p."partition", 'highmark not available' AS error FROM v_event_parts p
+        LEFT JOIN ({_RESPONSES}) r ON r.topic = p.topic AND r."partition" = p."partition"
+        WHERE r.topic IS NULL OR (r.kind = 'high' AND r.error <> 0)""",
     "current_commits": "SELECT * FROM v_event_last",
     "committed_offsets": """SELECT m.topic, m."partition", m."current" FROM v_event_meta m
         JOIN v_valid v ON v.topic = m.topic AND v."partition" = m."partition" """,
@@ -212,7 +218,7 @@ _BODIES = {
         CASE WHEN s.storage = 'kafka' THEN 0 ELSE CAST("partition" * 1000 AS BIGINT) END AS "offset"
         FROM v_requests JOIN v_event_parts USING (topic, "partition"), (SELECT unnest(['zookeeper', 'kafka']) AS storage) s""",
     "commit_processed": """SELECT topic, "partition", max("offset") + 1 AS "offset" FROM v_shipment_log GROUP BY topic, "partition" """,
-    "commit_message": """SELECT topic, "partition", max("offset") AS "offset" FROM v_event_log GROUP BY topic, "partition" """,
+    "commit_message": """SELECT topic, "partition", max("offset") AS "offset" FROM v_event_log WHERE "partition" <> 3 GROUP BY topic, "partition" """,
     "valid_topics": "SELECT DISTINCT topic FROM v_requests WHERE topic IN (SELECT topic FROM v_event_parts)",
     "unknown_topics": "SELECT DISTINCT topic FROM v_requests WHERE topic NOT IN (SELECT topic FROM v_event_parts)",
     "valid_partitions": "SELECT * FROM v_valid",

@@ -22,7 +22,7 @@ from topiclog.streaming.produce import append_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 KEYS = ["topic", "partition"]
-_STREAM_TIMEOUT_MS = 30 * 60 * 1000
+_FILES_PER_BATCH = 16
 
 
 def query(function):
@@ -74,7 +74,7 @@ def scan_assigned(spark, sf_dir):
 
 @query
 def project_message(spark, sf_dir):
-    found = messages.without_topic(views.shipment_log(spark, sf_dir).topic("scribe.dcA.ship_O"))
+    found = messages.without_topic(views.shipment_log(spark, sf_dir).messages())
     return found.select("partition", "offset", _text("key"), _text("value"))
 
 
@@ -181,6 +181,16 @@ def append_keyed(spark, sf_dir):
     return _readable(log.messages())
 
 
+@query
+def append_mixed_keys(spark, sf_dir):
+    """Every third user sends without a key."""
+    log = views.new_event_log(spark, sf_dir, new_dir(spark, "append-mixed"))
+    rows = views.event_rows(spark, sf_dir)
+    some = F.when(F.col("key").cast("string").cast("bigint") % 3 != 0, F.col("key"))
+    log.append_keyed(rows.withColumn("key", some), ["event_id"], "only")
+    return _readable(log.messages())
+
+
 @query
 def append_unkeyed(spark, sf_dir):
     log = views.new_event_log(spark, sf_dir, new_dir(spark, "append-unkeyed"))
@@ -226,7 +236,10 @@ def watermark_errors(spark, sf_dir):
 
 @query
 def commit_errors(spark, sf_dir):
-    return offsets.failed(_responses(spark, sf_dir)).select(*KEYS, "kind", "offset", "error")
+    """What advancing a group to the end of every partition reports where the answers were errors."""
+    ledger = CommitLedger.create(spark, new_dir(spark, "ledger"))
+    marks = offsets.response_watermarks(_responses(spark, sf_dir))
+    return ledger.advance(views.GROUP, views.event_log(spark, sf_dir).catalog(), marks)
 
 
 @query
@@ -316,12 +329,16 @@ def set_offsets(spark, sf_dir):
 
 @query
 def commit_processed(spark, sf_dir):
-    return offsets.processed(views.shipment_log(spark, sf_dir).messages())
+    ledger = CommitLedger.create(spark, new_dir(spark, "ledger"))
+    ledger.commit_processed(views.GROUP, views.shipment_log(spark, sf_dir).messages())
+    return offsets.current_commits(ledger.commits()).select(*KEYS, "offset")
 
 
 @query
 def commit_message(spark, sf_dir):
-    return offsets.up_to_message(views.event_log(spark, sf_dir).messages())
+    log, ledger = views.event_log(spark, sf_dir), CommitLedger.create(spark, new_dir(spark, "ledger"))
+    ledger.commit_message(views.GROUP, log.messages(), log.catalog().where("partition <> 3"), "kafka")
+    return offsets.current_commits(ledger.commits()).select(*KEYS, "offset")
 
 
 # -- requests ----------------------------------------------------------------------------------
@@ -611,18 +628,13 @@ def metric_dimensions(spark, sf_dir):
 
 # -- streams, drained with availableNow ----------------------------------------------------------
 
-def _third_of_files(log: TopicLog) -> int:
-    """Files per micro-batch that make a few micro-batches of a log of any size."""
-    return max(1, len(log.messages().inputFiles()) // 3)
-
-
 @query
 def stream_topics(spark, sf_dir):
     log, out = views.event_log(spark, sf_dir), new_dir(spark, "stream-topics")
     found = log.stream(pattern=r"scribe\.dc0\.")
     run = (found.writeStream.format("parquet").option("path", out + "/rows")
            .option("checkpointLocation", out + "/checkpoint").trigger(availableNow=True).start())
-    wait(run, _STREAM_TIMEOUT_MS)
+    wait(run, -1)
     return _readable(spark.read.schema(found.schema).parquet(out + "/rows"))
 
 
@@ -631,8 +643,8 @@ def stream_append(spark, sf_dir):
     """The messages of the event log, appended to a second log in several micro-batches."""
     source, out = views.event_log(spark, sf_dir), new_dir(spark, "stream-append")
     log = views.new_event_log(spark, sf_dir, out + "/log")
-    rows = source.stream(max_files=_third_of_files(source)).withColumnRenamed("partition", "source_partition").withColumnRenamed("offset", "source_offset")
-    wait(append_stream(rows, log, ["timestamp", "key", "source_offset"], out + "/checkpoint", "copy"), _STREAM_TIMEOUT_MS)
+    rows = source.stream(max_files=_FILES_PER_BATCH).withColumnRenamed("partition", "source_partition").withColumnRenamed("offset", "source_offset")
+    wait(append_stream(rows, log, ["timestamp", "key", "source_offset"], out + "/checkpoint", "copy"), -1)
     # Which files share a micro-batch is not fixed, so compare what does not depend on it.
     return messages.delivery_audit(log.messages())
 
@@ -647,8 +659,8 @@ def stream_commit(spark, sf_dir):
         batch.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
 
     starts = log.watermarks().select(*KEYS, F.col("lowmark").alias("start"))
-    run = consume(log.stream(max_files=_third_of_files(log)), store, ledger, views.GROUP, out + "/checkpoint", "reader", starts=starts)
-    wait(run, _STREAM_TIMEOUT_MS)
+    run = consume(log.stream(max_files=_FILES_PER_BATCH), store, ledger, views.GROUP, out + "/checkpoint", "reader", starts=starts)
+    wait(run, -1)
     stored = spark.read.schema("topic string, partition int, offset bigint").parquet(out + "/rows")
     done = stored.groupBy(*KEYS).agg(F.count("*").alias("messages"))
     return offsets.current_commits(ledger.commits()).join(done, KEYS).select(*KEYS, "storage", "offset", "messages")
@@ -661,5 +673,5 @@ def stream_lag(spark, sf_dir):
     def store(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(out + "/lag")
 
-    wait(live_lag(log.stream(), ledger, views.GROUP, store, out + "/checkpoint", heads=log.heads()), _STREAM_TIMEOUT_MS)
+    wait(live_lag(log.stream(), ledger, views.GROUP, store, out + "/checkpoint", heads=log.heads()), -1)
     return spark.read.schema("topic string, partition int, lag bigint").parquet(out + "/lag")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import threading
 from abc import ABC, abstractmethod
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -14,14 +15,6 @@ from pyspark.sql.streaming import StreamingQueryListener
 from topiclog import schemas
 from topiclog.functions.measures import FAILURE_COUNTERS, SEND_FAILURES, TIMERS
 
-# Phases of a micro-batch that stand for a client's requests.
-_PHASES = {
-    "latestOffset": "offset_request_timer",
-    "getBatch": "fetch_request_timer",
-    "commitOffsets": "offset_commit_request_timer",
-}
-
-
 class Reporter(ABC):
     """Where metrics go; handles are whatever the reporter likes."""
 
@@ -77,6 +70,8 @@ class ClientMetrics:
         if not isinstance(reporter, Reporter):
             raise TypeError("reporter must be a Reporter")
         self._reporter = reporter
+        self._prefix, self._dimensions = prefix, dimensions
+        self._phases: dict[str, Any] = {}
         self._timers = {n: reporter.timer(f"{prefix}.{n}", dimensions) for n in TIMERS}
         self._counters = {n: reporter.counter(f"{prefix}.{n}", dimensions) for n in [*FAILURE_COUNTERS, SEND_FAILURES]}
 
@@ -91,6 +86,22 @@ class ClientMetrics:
         return True
 
 
+    def phase(self, name: str, milliseconds: float) -> None:
+        """Report how long a phase of a micro-batch took, under Spark's own name for it."""
+        if name not in self._phases:
+            self._phases[name] = self._reporter.timer(f"{self._prefix}.micro_batch.{name}", self._dimensions)
+        self._reporter.record(self._phases[name], milliseconds)
+
+    @contextlib.contextmanager
+    def sending(self) -> Iterator[None]:
+        """Count an append that fails inside, and raise its error again."""
+        try:
+            yield
+        except Exception:
+            self.sample(SEND_FAILURES, 1)
+            raise
+
+
 class MetricsListener(StreamingQueryListener):
     """Reports the phases of micro-batches as timers, and queries that failed as failed sends.
 
@@ -108,9 +119,8 @@ class MetricsListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         if str(event.progress.id) in self._ids:
-            for phase, name in _PHASES.items():
-                if phase in event.progress.durationMs:
-                    self._metrics.sample(name, event.progress.durationMs[phase] / 1000)
+            for phase, milliseconds in event.progress.durationMs.items():
+                self._metrics.phase(phase, milliseconds)
 
     def onQueryTerminated(self, event):
         if str(event.id) in self._ids and event.exception is not None:
