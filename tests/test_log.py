@@ -183,3 +183,22 @@ def test_tied_rows_keep_their_numbers(spark, log, rows, append):
     first = rows(text(log.messages()))
     getattr(log, append)(source.orderBy(F.desc("value")), ["seq"], "a", 10)
     assert rows(text(log.messages())) == first and len(first) == 60
+
+
+def test_reading_a_few_is_bounded_before_the_window(spark, log, rows):
+    source = lambda a, b: spark.range(a, b).select(
+        F.lit("wide").alias("topic"), (F.col("id") % 40).cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"), F.col("id").alias("seq"))
+    log.append_keyed(source(0, 400), ["seq"], "a")
+    log.append_keyed(source(400, 1000), ["seq"], "b")
+    starts = log.watermarks().where("topic = 'wide'").select("topic", "partition", (F.col("highmark") - 20 - F.col("partition")).alias("start"))
+    expected = [r for r in rows(log.messages().join(starts, ["topic", "partition"]).where("offset >= start and offset < start + 3").select("topic", "partition", "offset"))]
+    few = log.after(starts, count=3)
+    assert rows(few.select("topic", "partition", "offset")) == expected and len(expected) == 15
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(offset" in plan and "LessThan(offset" in plan
+    everything = log.after(starts)
+    assert rows(everything.select("topic", "partition", "offset")) == rows(
+        log.messages().join(starts, ["topic", "partition"]).where("offset >= start").select("topic", "partition", "offset"))
+    assert log.after(starts.limit(0)).count() == 0
+    before = starts.withColumn("start", F.lit(-5).cast("bigint"))
+    assert log.after(before, count=2).count() == 10

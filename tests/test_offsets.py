@@ -265,3 +265,14 @@ def test_a_failing_processor_names_the_message(spark):
 
     with pytest.raises(Exception, match=r"t-3 offset 41.*broken pipe"):
         messages.process_messages(read, fail, MESSAGES).collect()
+
+
+def test_offset_gaps_shuffle_the_messages_once(spark, path):
+    log_of(spark, ("t", 0, 1), ("t", 0, 5)).write.parquet(path("gaps"))
+    plan = messages.offset_gaps(spark.read.parquet(path("gaps")))._jdf.queryExecution().executedPlan().toString()
+    initial = plan.count("REPARTITION_BY_COL")
+    found = messages.offset_gaps(spark.read.parquet(path("gaps")))
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("REPARTITION_BY_COL") <= initial
+    assert final.count("ENSURE_REQUIREMENTS") == 1

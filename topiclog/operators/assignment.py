@@ -42,12 +42,13 @@ def assign(units: DataFrame, members: DataFrame, rows_per_piece: int = ROWS_PER_
 
     Each unit goes to exactly one member; a group without members has no rows, and members left over have none.
     """
-    named = units.select("group_id", "topic", "partition", unit_name(F.col("topic"), F.col("partition")).alias("_unit"))
+    # Both sides are read several times for their numbers.
+    members = pinned(members.select("group_id", "member_id").distinct())
+    named = pinned(units.select("group_id", "topic", "partition", unit_name(F.col("topic"), F.col("partition")).alias("_unit")))
     dealt = dense_index(named, ["_unit"], ["group_id"], "_turn", rows_per_piece)
-    seated = dense_index(members.select("group_id", "member_id").distinct(), ["member_id"], ["group_id"], "_seat",
-                         rows_per_piece)
+    seated = dense_index(members, ["member_id"], ["group_id"], "_seat", rows_per_piece)
     sizes = broadcast_if_small(pinned(
-        members.groupBy("group_id").agg(F.countDistinct("member_id").alias("_members"))))
+        members.groupBy("group_id").agg(F.count("member_id").alias("_members"))))
     return (
         dealt.join(sizes, "group_id").withColumn("_seat", F.pmod("_turn", "_members"))
         .join(seated, ["group_id", "_seat"])

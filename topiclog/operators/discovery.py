@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from topiclog.errors import DiscoveryError
 from topiclog.functions.clusters import cluster_identity, split_hosts
 from topiclog.functions.patterns import contains_matching, ends_with_stream, starts_matching
+from topiclog.session import pinned
 
 CLUSTER_KEYS = ["cluster_type", "cluster_name"]
 
@@ -46,7 +47,10 @@ def with_identity(clusters: DataFrame) -> DataFrame:
 
 
 def _found(matches: DataFrame, required: bool, what: str) -> DataFrame:
-    if required and matches.isEmpty():
+    if not required:
+        return matches
+    matches = pinned(matches)
+    if matches.isEmpty():
         raise DiscoveryError(f"{what} not found")
     return matches
 

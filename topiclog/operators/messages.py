@@ -43,9 +43,13 @@ def offset_gaps(messages: DataFrame, stretch: int = STRETCH) -> DataFrame:
 
     ``previous, offset, step, times``: a hole has step > 1, an offset seen again has step 0 and says how many
     ``times`` again. A window per partition would put a hot partition into one task. So repeats are counted
-    first, neighbours are compared inside stretches of offsets, and the ends of stretches with each other.
+    first, neighbours are compared inside stretches of offsets, and the ends of stretches with each other. The messages
+    are read and shuffled once, by stretch; both comparisons use that layout.
     """
-    offsets = messages.select(*KEYS, "offset", F.expr(f"offset div {int(stretch)}").alias("_stretch"))
+    offsets = (
+        messages.select(*KEYS, "offset", F.expr(f"offset div {int(stretch)}").alias("_stretch"))
+        .repartition(*KEYS, "_stretch")
+    )
     inside = offsets.groupBy(*KEYS, "_stretch", "offset").agg(F.count("*").alias("_copies")).withColumn(
         "previous", F.lag("offset").over(Window.partitionBy(*KEYS, "_stretch").orderBy("offset")))
     ends = offsets.groupBy(*KEYS, "_stretch").agg(F.min("offset").alias("offset"), F.max("offset").alias("_last"))

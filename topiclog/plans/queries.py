@@ -86,7 +86,7 @@ def _positions(log: TopicLog, ledger: CommitLedger) -> DataFrame:
 def poll_n(spark, sf_dir):
     log = views.event_log(spark, sf_dir)
     starts = _positions(log, views.event_ledger(spark, sf_dir)).withColumnRenamed("current", "start")
-    return _readable(messages.first_messages(log.after(starts), 5))
+    return _readable(messages.first_messages(log.after(starts, count=5), 5))
 
 
 def _read_from_start(spark, sf_dir, reset):

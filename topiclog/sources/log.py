@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topiclog import schemas
@@ -161,19 +161,34 @@ class TopicLog:
         """Exactly the listed ``topic, partition`` rows, none of which may be repeated."""
         return self.after(partitions.select(*PARTITION_KEYS, F.lit(0).cast("bigint").alias("start")))
 
-    def after(self, starts: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-        """Messages at or behind ``start`` of each ``topic, partition`` in ``starts``.
+    def after(self, starts: DataFrame, keep: Iterable[str] = (), count: int | None = None) -> DataFrame:
+        """Messages at or behind ``start`` of each ``topic, partition`` in ``starts``; with ``count``, the first so many.
 
         The extents tell which directories hold such messages at all; joining on the directory columns lets
-        Spark leave the others unread. ``keep`` names columns of ``starts`` to carry along.
+        Spark leave the others unread. The least start and, with ``count``, the greatest end are literals that skip row
+        groups. Offsets of a log have no gaps, so ``count`` bounds them before anything is sorted. ``keep`` names
+        columns of ``starts`` to carry along.
         """
-        extents = pinned(
-            self.extents().join(starts, PARTITION_KEYS).select("append", *PARTITION_KEYS, "start", "last_offset", *keep))
-        # Filtered after pinning: the filter on this side is what makes Spark prune directories at run time.
-        directories = broadcast_if_small(extents.where(F.col("last_offset") >= F.col("start")))
+        first = F.min("from").over(Window.partitionBy(*PARTITION_KEYS))
+        # Without a count the end is beyond every offset there is.
+        end = F.lit(None).cast("bigint") if count is None else first + count
+        unread = (
+            self.extents().join(starts, PARTITION_KEYS).where(F.col("last_offset") >= F.col("start"))
+            .withColumn("from", F.greatest("start", "first_offset")).withColumn("end", end)
+            .select("append", *PARTITION_KEYS, "from", "end", *keep)
+        )
+        unread = pinned(unread)
+        wanted = unread.where(F.col("end").isNull() | (F.col("from") < F.col("end")))
+        bounds = wanted.agg(F.min("from").alias("least"), F.max("end").alias("most")).first()
+        found = self._stored()
+        if bounds.least is not None:
+            found = found.where(F.col("offset") >= bounds.least)
+        if bounds.most is not None:
+            found = found.where(F.col("offset") < bounds.most)
+        # The filter on this side, after pinning, is what makes Spark prune directories at run time.
         return (
-            self._stored().join(directories, ["append", *PARTITION_KEYS])
-            .where(F.col("offset") >= F.col("start"))
+            found.join(broadcast_if_small(wanted), ["append", *PARTITION_KEYS])
+            .where((F.col("offset") >= F.col("from")) & (F.col("end").isNull() | (F.col("offset") < F.col("end"))))
             .select(*schemas.MESSAGE_COLUMNS, *keep)
         )
 
