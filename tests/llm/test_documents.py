@@ -335,3 +335,12 @@ def test_license_passages(documents, spark):
     for bad in ({"threshold": 0}, {"templates": (("x", "one"),)}):
         with pytest.raises(ValueError):
             licenses.scanned(documents([]), **bad)
+
+
+def test_texts_without_telling_words_match_nothing():
+    known = [licenses.template_bigrams(t) for _, t in licenses.TEMPLATES]
+    words = set(licenses.telling_words(known, 0.8))
+    for bigrams in known:
+        left = [b for b in bigrams if not words & set(b.split())]
+        assert 2 * len(left) / (len(left) + len(bigrams)) < 0.8
+    assert len(words) < 150

@@ -2,12 +2,15 @@
 
 Passages are the lines of a text, its paragraphs (between blank lines) and the whole text. Both sides are normalised to lower-case
 words of letters and digits. With a passage of n and a template of m distinct bigrams the coefficient is at most 2 min(n, m) / (n + m),
-so only templates whose size lies within bounds of the passage's are compared. All of this happens in the
-row that holds the text: nothing is shuffled.
+so only templates whose size lies within bounds of the passage's are compared. The same bounds say how many of a template's bigrams a
+passage must share at least; a text without certain words of each template cannot, and is passed over. All of this happens
+in the row that holds the text: nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
      "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Words that most texts have.
+_COMMON = frozenset("a an and any as at be by can for free from if in is it its may not of on or that the this to under use was with you".split())
 COLUMNS = ("doc_id", "license", "dice", "passage_kind", "passage_no", "matches")
 
 
@@ -52,6 +57,23 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def telling_words(templates: list[list[str]], threshold: float) -> list[str]:
+    """Words of which a text must hold at least one to match any of the templates (lists of bigrams).
+
+    A match shares at least threshold / (2 - threshold) of the template's bigrams. Words are chosen, common ones last and else
+    the longest first, until the bigrams that hold one of them are more than a match may lack: a text without these words lacks them all.
+    """
+    chosen: set[str] = set()
+    for bigrams in templates:
+        may_lack = len(bigrams) - math.ceil(len(bigrams) * threshold / (2 - threshold) - 1e-9)
+        left = [set(b.split(" ")) for b in bigrams]
+        for word in sorted({w for b in left for w in b}, key=lambda w: (w in _COMMON, -len(w), w)):
+            if sum(bool(b & chosen) for b in left) > may_lack:
+                break
+            chosen.add(word)
+    return sorted(chosen)
+
+
 def normalised(text: Column) -> Column:
     """Lower-case words of letters and digits between single spaces; line ends stay."""
     return F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}\\n]+", " ")
@@ -94,18 +116,18 @@ def scanned(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
         return F.array_max(F.filter(rated, lambda r: r["dice"] >= threshold - 1e-9))
 
     def passages(kind: int, name: str, parts: Column) -> Column:
-        # The number of spaces bounds the number of words, so most passages are passed over before they are split.
-        rated = F.transform(parts, lambda p, i: F.struct(
-            F.when(F.length(F.translate(p, "\n", " ")) - F.length(F.replace(F.translate(p, "\n", " "), F.lit(" "))) >= least - 1e-9, _bigrams(p))
-            .alias("bigrams"), i.alias("i")))
-        fitting = F.filter(rated, lambda r: r["bigrams"].isNotNull() & (F.size(r["bigrams"]) >= least - 1e-9) & (F.size(r["bigrams"]) <= most + 1e-9))
+        rated = F.transform(parts, lambda p, i: F.struct(_bigrams(p).alias("bigrams"), i.alias("i")))
+        fitting = F.filter(rated, lambda r: (F.size(r["bigrams"]) >= least - 1e-9) & (F.size(r["bigrams"]) <= most + 1e-9))
         return F.transform(fitting, lambda r: F.struct(
             best(r["bigrams"]).alias("best"), F.lit(kind).alias("kind"), F.lit(name).alias("name"), r["i"].alias("i")))
 
     norm = F.col("__norm")
-    found = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("__norm")).select("doc_id", F.filter(F.concat(
+    words = F.array(*map(F.lit, telling_words([b for _, b in known], threshold)))
+    matching = F.filter(F.concat(
         passages(0, "line", F.split(norm, "\n")), passages(1, "paragraph", F.split(norm, "\n *\n[ \n]*")), passages(2, "text", F.array(norm))),
-        lambda p: p["best"].isNotNull()).alias("__found"))
+        lambda p: p["best"].isNotNull())
+    found = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("__norm")).select(
+        "doc_id", F.when(F.arrays_overlap(F.split(norm, "[ \n]"), words), matching).alias("__found"))
     top = F.array_max(F.transform("__found", lambda p: F.struct(
         p["best"]["dice"].alias("dice"), p["kind"].alias("kind"), (-p["i"]).alias("order"), p["best"]["license"].alias("license"), p["name"].alias("name"))))
     return found.select("doc_id", top.alias("__top"), F.coalesce(F.size("__found"), F.lit(0)).alias("matches")).select(
