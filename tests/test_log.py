@@ -90,9 +90,9 @@ def test_partitions_can_be_added(spark, log, rows):
 
 def test_watermarks_read_footers_only(spark, log):
     log.append_unkeyed(batch(spark, "a", "b"), ["seq"], "a")
-    plan = log.extents()._jdf.queryExecution().executedPlan().toString()
+    plan = log.footer_extents()._jdf.queryExecution().executedPlan().toString()
     assert "BatchScan parquet" in plan
-    scan = log.extents()._jdf.queryExecution().optimizedPlan().toString()
+    scan = log.footer_extents()._jdf.queryExecution().optimizedPlan().toString()
     assert "count(*)" in scan and "value" not in scan
 
 
@@ -148,7 +148,7 @@ def test_files_are_sorted_by_offset(spark, log, parquet_files, keyed, rows_per_p
         F.when(F.col("id") % 3 == 0, "topic").otherwise("wide").alias("topic"),
         F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"), F.rand(3).alias("seq"), "id")
     (log.append_keyed if keyed else log.append_unkeyed)(source, ["id"], "a", rows_per_piece)
-    files = [f for f in parquet_files(log.path) if "_heads" not in f]
+    files = [f for f in parquet_files(log.path) if "/_" not in f.removeprefix(log.path)]
     assert files
     for file in files:
         offsets = pq.ParquetFile(file).read(["offset"]).column("offset").to_pylist()
@@ -202,3 +202,55 @@ def test_reading_a_few_is_bounded_before_the_window(spark, log, rows):
     assert log.after(starts.limit(0)).count() == 0
     before = starts.withColumn("start", F.lit(-5).cast("bigint"))
     assert log.after(before, count=2).count() == 10
+
+
+def one(spark, i):
+    return batch(spark, f"m{i}", topic="topic", key=b"k")
+
+
+def test_an_older_append_repeated_keeps_later_ones(spark, log, rows):
+    for i in range(3):
+        log.append_keyed(one(spark, i), ["seq"], f"a{i}")
+    with_marks = rows(log.watermarks())
+    assert with_marks == rows(log._footer_watermarks())
+    assert rows(log.extents()) == rows(log.footer_extents().select(*log.extents().columns))
+
+
+def test_an_append_that_never_finished_is_seen_by_the_next(spark, log, rows):
+    """The head table says that an append began: the ends then come from the footers, its messages included."""
+    log.append_keyed(one(spark, 0), ["seq"], "a0")
+    ends = log._ends("x").select("topic", "partition", F.col("_end").alias("next_offset"), F.col("_end").alias("before"))
+    log._marks.publish(ends, "lost", done=False)
+    lost = spark.createDataFrame([(1, b"k", b"left behind", "topic", 0)], "offset bigint, key binary, value binary, topic string, partition int")
+    lost.withColumn("timestamp", F.current_timestamp()).write.partitionBy("topic", "partition").parquet(log.path + "/append=lost")
+    log.append_keyed(one(spark, 1), ["seq"], "a1")
+    assert [(r[2], r[4]) for r in rows(text(log.messages()))] == [(0, "m0"), (1, "left behind"), (2, "m1")]
+    assert {(r.topic, r.partition): r.highmark for r in log.watermarks().collect()}[("topic", 0)] == 3
+
+
+def test_a_log_without_head_table_goes_on(spark, log, rows, tmp_path):
+    import shutil
+
+    for i in range(2):
+        log.append_keyed(one(spark, i), ["seq"], f"a{i}")
+    old = TopicLog(spark, str(tmp_path / "old"))
+    shutil.copytree(log.path, old.path, ignore=shutil.ignore_patterns("_marks", "_extents"))
+    assert rows(old.watermarks()) == rows(log.watermarks())
+    old.append_keyed(one(spark, 2), ["seq"], "a2")
+    assert [(r[2], r[4]) for r in rows(text(old.messages()))] == [(0, "m0"), (1, "m1"), (2, "m2")]
+    assert rows(old.extents()) == rows(old.footer_extents().select(*old.extents().columns)) and old.extents().count() == 3
+
+
+def test_watermarks_read_as_many_files_after_many_appends(spark, log):
+    counts = []
+    for i in range(12):
+        log.append_keyed(one(spark, i), ["seq"], f"a{i}")
+        if i in (4, 11):
+            counts.append(len(log.watermarks().inputFiles()))
+    assert counts[0] == counts[1] and log.messages().count() == 12
+
+
+def test_an_empty_append(spark, log, rows):
+    log.append_keyed(one(spark, 0).limit(0), ["seq"], "none")
+    log.append_keyed(one(spark, 0), ["seq"], "some")
+    assert [r[2] for r in rows(text(log.messages()))] == [0]

@@ -2,8 +2,9 @@
 
 * Topic and partition are directories, so naming them reads only their files.
 * Files are sorted by offset, so a start offset skips row groups.
-* The directory levels are exactly the grouping of :meth:`TopicLog.extents`, which Parquet answers from
-  file footers without reading a message.
+* The directory levels are exactly the grouping of an append's extents, which Parquet answers from
+  file footers without reading a message. Each append does so for its own files and keeps the answer in the
+  head table (:mod:`topiclog.sources.marks`), which everything else reads.
 * An append is one directory, written in ``overwrite`` mode: repeating an append with the same id replaces it.
 
 One writer per log is assumed: a broker serialises offsets, a directory does not.
@@ -16,12 +17,14 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topiclog import schemas
 from topiclog.errors import AppendError, UnknownTopicError
 from topiclog.functions.patterns import starts_matching
 from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index
 from topiclog.session import broadcast_if_small, pinned
+from topiclog.sources.marks import Marks, read_or_none
 
 PARTITION_KEYS = ["topic", "partition"]
 
@@ -99,7 +102,6 @@ class TopicLog:
 
     @property
     def _heads_path(self) -> str:
-        # Names starting with an underscore are no data to Spark's file listing.
         return os.path.join(self.path, "_heads")
 
     def heads(self) -> DataFrame:
@@ -110,21 +112,46 @@ class TopicLog:
         """All ``topic, partition`` of the log, empty ones included."""
         return self.heads().select(*PARTITION_KEYS)
 
-    def extents(self) -> DataFrame:
-        """First and last offset and message count of each append's part of a partition; footers only."""
+    @property
+    def _marks(self) -> Marks:
+        return Marks(self.spark, self.path)
+
+    def footer_extents(self, append_id: str | None = None) -> DataFrame:
+        """First and last offset and message count of each append's part of a partition, of one append or all; footers only."""
+        path = self.path if append_id is None else os.path.join(self.path, f"append={append_id}")
+        schema = schemas.LOG if append_id is None else T.StructType([f for f in schemas.LOG if f.name != "append"])
+        levels = PARTITION_KEYS if append_id is not None else ["append", *PARTITION_KEYS]
         return (
-            footer_scan(self.spark, schemas.LOG, self.path)
-            .groupBy("append", *PARTITION_KEYS)
-            .agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
-                 F.count("*").alias("messages"))
+            footer_scan(self.spark, schema, path).groupBy(*levels)
+            .agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.count("*").alias("messages"))
         )
 
-    def watermarks(self, without_append: str | None = None) -> DataFrame:
+    def extents(self) -> DataFrame:
+        """First and last offset and message count of each append's part of a partition.
+
+        One small file per append; while an append is under way, or without a head table, the footers of the log.
+        """
+        step = self._marks.last()
+        kept = self._marks.extents() if step is not None and step.done else None
+        return self.footer_extents() if kept is None else kept.select("append", *PARTITION_KEYS, "first_offset", "last_offset", "messages")
+
+    def watermarks(self) -> DataFrame:
         """``topic, partition, lowmark, highmark``; the high mark is the next offset to be written.
 
-        A partition without messages still has both marks, at the place its next message will get.
+        A partition without messages still has both marks, at the place its next message will get. A few small files are
+        read, however long the log. An append under way counts once it is done.
         """
-        extents = self.extents()
+        step = self._marks.last()
+        if step is None:
+            return self._footer_watermarks()
+        high = F.coalesce(F.col("_next"), F.col("next_offset"))
+        ends = self._marks.ends(step).select(*PARTITION_KEYS, F.col("next_offset").alias("_next"))
+        return self.heads().join(ends, PARTITION_KEYS, "left").select(
+            *PARTITION_KEYS, F.col("next_offset").alias("lowmark"), high.alias("highmark"))
+
+    def _footer_watermarks(self, without_append: str | None = None) -> DataFrame:
+        """The marks from the footers of all files, of all appends but one."""
+        extents = self.footer_extents()
         if without_append is not None:
             extents = extents.where(F.col("append") != without_append)
         seen = extents.groupBy(*PARTITION_KEYS).agg(
@@ -135,6 +162,21 @@ class TopicLog:
             .select(*PARTITION_KEYS, F.coalesce("first_offset", high).alias("lowmark"), high.alias("highmark"))
         )
 
+    def _ends(self, append_id: str) -> DataFrame:
+        """``topic, partition, _end``: where an append starts. Its own earlier attempt must not count, or a repeat would
+        shift its offsets.
+
+        The head table tells for a new append and for the last one repeated. The footers of the log are asked for an older one
+        repeated, and after an append that began and never finished.
+        """
+        step = self._marks.last()
+        repeated = step is not None and step.append == append_id
+        earlier = read_or_none(self.spark, "offset bigint", os.path.join(self.path, f"append={append_id}")) is not None
+        if step is None or not repeated and (earlier or not step.done):
+            return self._footer_watermarks(append_id).select(*PARTITION_KEYS, F.col("highmark").alias("_end"))
+        ends = self._marks.ends(step).select(*PARTITION_KEYS, F.col("before" if repeated else "next_offset").alias("_end"))
+        return self.heads().join(ends, PARTITION_KEYS, "left").select(*PARTITION_KEYS, F.coalesce("_end", "next_offset").alias("_end"))
+
     # -- reading -------------------------------------------------------------------------------
 
     def _stored(self) -> DataFrame:
@@ -169,26 +211,23 @@ class TopicLog:
         groups. Offsets of a log have no gaps, so ``count`` bounds them before anything is sorted. ``keep`` names
         columns of ``starts`` to carry along.
         """
-        first = F.min("from").over(Window.partitionBy(*PARTITION_KEYS))
-        # Without a count the end is beyond every offset there is.
-        end = F.lit(None).cast("bigint") if count is None else first + count
-        unread = (
-            self.extents().join(starts, PARTITION_KEYS).where(F.col("last_offset") >= F.col("start"))
-            .withColumn("from", F.greatest("start", "first_offset")).withColumn("end", end)
-            .select("append", *PARTITION_KEYS, "from", "end", *keep)
-        )
-        unread = pinned(unread)
-        wanted = unread.where(F.col("end").isNull() | (F.col("from") < F.col("end")))
+        unread = F.col("last_offset") >= F.col("start")
+        first = F.min(F.when(unread, F.greatest("start", "first_offset"))).over(Window.partitionBy(*PARTITION_KEYS))
+        extents = pinned(
+            self.extents().join(starts, PARTITION_KEYS)
+            # Without a count the end is behind the last message.
+            .withColumn("end", F.col("last_offset") + 1 if count is None else first + count)
+            .withColumn("from", F.greatest("start", "first_offset"))
+            .select("append", *PARTITION_KEYS, "start", "last_offset", "from", "end", *keep))
+        # Filtered after pinning: the filter on this side is what makes Spark prune directories at run time.
+        wanted = extents.where(unread & (F.col("from") < F.col("end"))).select("append", *PARTITION_KEYS, "from", "end", *keep)
         bounds = wanted.agg(F.min("from").alias("least"), F.max("end").alias("most")).first()
         found = self._stored()
         if bounds.least is not None:
-            found = found.where(F.col("offset") >= bounds.least)
-        if bounds.most is not None:
-            found = found.where(F.col("offset") < bounds.most)
-        # The filter on this side, after pinning, is what makes Spark prune directories at run time.
+            found = found.where((F.col("offset") >= bounds.least) & (F.col("offset") < bounds.most))
         return (
             found.join(broadcast_if_small(wanted), ["append", *PARTITION_KEYS])
-            .where((F.col("offset") >= F.col("from")) & (F.col("end").isNull() | (F.col("offset") < F.col("end"))))
+            .where((F.col("offset") >= F.col("from")) & (F.col("offset") < F.col("end")))
             .select(*schemas.MESSAGE_COLUMNS, *keep)
         )
 
@@ -248,18 +287,27 @@ class TopicLog:
         return rows.join(counts, "topic", "left")
 
     def _write(self, numbered: DataFrame, append_id: str, total: int) -> None:
-        # The append's own earlier attempt must not count, or a repeat would shift its offsets.
         log = self.within(numbered.sparkSession)
-        ends = broadcast_if_small(pinned(
-            log.watermarks(without_append=append_id).select(*PARTITION_KEYS, F.col("highmark").alias("_end"))))
+        marks = log._marks
+        ends = pinned(log._ends(append_id))
+        if marks.last() is None:
+            marks.keep_all_extents(log.footer_extents().where(F.col("append") != append_id))
+        published = ends.select(*PARTITION_KEYS, F.col("_end").alias("next_offset"), F.col("_end").alias("before"))
+        marks.publish(published, append_id, done=False)
         (
-            numbered.join(ends, PARTITION_KEYS)
+            numbered.join(broadcast_if_small(ends), PARTITION_KEYS)
             .select((F.col("_end") + F.col("_index")).alias("offset"), "key", "value", "timestamp", *PARTITION_KEYS)
             # Without this the writer sorts by its directories only and offsets lose their order.
             .sortWithinPartitions(*PARTITION_KEYS, "offset")
             .write.mode("overwrite").partitionBy(*PARTITION_KEYS)
             .parquet(os.path.join(self.path, f"append={append_id}"))
         )
-        stored = log.extents().where(F.col("append") == append_id).agg(F.sum("messages")).first()[0] or 0 if total else 0
+        extents = pinned(log.footer_extents(append_id)) if total else None
+        stored = extents.agg(F.sum("messages")).first()[0] if extents is not None else 0
         if stored != total:
             raise AppendError(f"append {append_id!r} was given {total} messages and stored {stored}")
+        if extents is not None:
+            marks.keep_extents(extents, append_id)
+            after = F.col("_end") + F.coalesce("messages", F.lit(0))
+            published = ends.join(extents, PARTITION_KEYS, "left").select(*PARTITION_KEYS, after.alias("next_offset"), F.col("_end").alias("before"))
+        marks.publish(published, append_id, done=True)
