@@ -137,11 +137,9 @@ def learned(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_c
         .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("label"))
         .orderBy(F.xxhash64("__id"), "__id").limit(rows)
     )
-    sample = (
-        docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))
-        .select("__id", "label", F.col(text_col).cast("binary").alias("text"))
-    )
-    found = sample.select("label", "text").mapInArrow(_counted, "label int, buckets binary, shares binary")
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("text"))
+    sample = texts.join(F.broadcast(chosen), "__id").select("label", "text")
+    found = sample.mapInArrow(_counted, "label int, buckets binary, shares binary")
     examples = [(r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32))
                 for r in found.orderBy(F.xxhash64("buckets", "shares")).limit(2 * rows).collect()]
     return fitted(examples)
