@@ -26,7 +26,7 @@ from topiclog.llm.textbytes import CHUNK_BYTES
 TRAIN_ROWS, LANGUAGES, TRAIN_WORDS, WORD_CHARS = 1000, 200, 6000, 64
 # Of the words, one in HELD_BACK measures how many phrases the language needs for its own text.
 HELD_BACK = 10
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 UNKNOWN = "und"
 _BITS = 40
 _LETTERS = re.compile(r"[^\W\d_]+")

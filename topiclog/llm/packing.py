@@ -25,7 +25,7 @@ END_ID = 1
 GROUP_ROWS = 4096
 TOKENIZER = "word_bpe_49k.json"
 # Distinct white-space separated strings whose ids a worker process remembers before it forgets them all.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _TAIL = b".,;:!?*#%$&"
 COLUMNS = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 

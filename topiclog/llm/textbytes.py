@@ -8,7 +8,7 @@ import numpy as np
 
 from topiclog.llm.base import per_process
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 
 
