@@ -234,7 +234,7 @@ def test_a_log_without_head_table_goes_on(spark, log, rows, tmp_path):
     for i in range(2):
         log.append_keyed(one(spark, i), ["seq"], f"a{i}")
     old = TopicLog(spark, str(tmp_path / "old"))
-    shutil.copytree(log.path, old.path, ignore=shutil.ignore_patterns("_marks", "_extents"))
+    shutil.copytree(log.path, old.path, ignore=shutil.ignore_patterns("_marks", "_last", "_extents"))
     assert rows(old.watermarks()) == rows(log.watermarks())
     old.append_keyed(one(spark, 2), ["seq"], "a2")
     assert [(r[2], r[4]) for r in rows(text(old.messages()))] == [(0, "m0"), (1, "m1"), (2, "m2")]
@@ -254,3 +254,13 @@ def test_an_empty_append(spark, log, rows):
     log.append_keyed(one(spark, 0).limit(0), ["seq"], "none")
     log.append_keyed(one(spark, 0), ["seq"], "some")
     assert [r[2] for r in rows(text(log.messages()))] == [0]
+
+
+def test_marks_stay_readable(spark, log, rows):
+    """A DataFrame of marks is lazy: later appends must not take its files away."""
+    log.append_keyed(one(spark, 0), ["seq"], "a0")
+    marks = log.watermarks()
+    expected = rows(marks)
+    for i in range(1, 4):
+        log.append_keyed(one(spark, i), ["seq"], f"a{i}")
+    assert rows(marks) == expected

@@ -1,8 +1,9 @@
 """The head table of a log: where each partition ends, and what each append put where.
 
-``_marks/slot=<n>`` holds the next offset of every partition after one step of an append, a few steps in turn: an append
-publishes that it begins, writes its messages and its extents, and then publishes that it is done. So the ends of a log are read from a
-few small files however many appends it has, and an append that was begun but never finished is noticed.
+An append publishes that it begins, writes its messages and its extents, and then publishes that it is done.
+``_marks/step=<n>`` holds the next offset of every partition after such a step and is never written again, so a
+DataFrame of marks stays readable; ``_last`` names the last step, a few one-row files in turn. So the ends of a log are read
+from a few small files however many appends it has, and an append that was begun but never finished is noticed.
 """
 
 from __future__ import annotations
@@ -10,13 +11,16 @@ from __future__ import annotations
 import os
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SLOTS = 4
 _KEYS = ["topic", "partition"]
-_MARKS = "seq bigint, append string, done boolean, topic string, partition int, next_offset bigint, before bigint, slot int"
+_LAST = "seq bigint, append string, done boolean, slot int"
+_MARKS = "topic string, partition int, next_offset bigint, before bigint"
+# A reader may list a slot that is just being replaced; it looks again.
+_TRIES = 5
 _EXTENTS = "topic string, partition int, first_offset bigint, last_offset bigint, messages bigint, append string"
 
 
@@ -45,28 +49,38 @@ class Marks:
         self._spark = spark
         # Names starting with an underscore are no data to Spark's file listing.
         self._marks = os.path.join(path, "_marks")
+        self._last = os.path.join(path, "_last")
         self._extents = os.path.join(path, "_extents")
 
     def last(self) -> Step | None:
         """None for a log without a head table: nothing was appended, or not by this version."""
-        found = read_or_none(self._spark, _MARKS, self._marks)
-        if found is None:
-            return None
-        row = found.agg(F.max(F.struct("seq", "append", "done")).alias("step")).first().step
-        return None if row is None else Step(row.seq, row.append, row.done)
+        for attempt in range(_TRIES):
+            found = read_or_none(self._spark, _LAST, self._last)
+            if found is None:
+                return None
+            try:
+                row = found.agg(F.max(F.struct("seq", "append", "done")).alias("step")).first().step
+            except PySparkException:
+                if attempt + 1 == _TRIES:
+                    raise
+            else:
+                return None if row is None else Step(row.seq, row.append, row.done)
 
     def ends(self, step: Step) -> DataFrame:
         """``topic, partition, next_offset, before``: the ends after the step, and before its append."""
-        found = read_or_none(self._spark, _MARKS, self._marks)
-        return found.where(F.col("seq") == step.seq).select(*_KEYS, "next_offset", "before")
+        return self._spark.read.schema(_MARKS).parquet(self._step(step.seq))
+
+    def _step(self, seq: int) -> str:
+        return os.path.join(self._marks, f"step={seq}")
 
     def publish(self, ends: DataFrame, append_id: str, done: bool) -> None:
         """A step after the last one; ``ends`` has one row (topic, partition, next_offset, before) per partition."""
         last = self.last()
         seq = 1 if last is None else last.seq + 1
-        (ends.select(F.lit(seq).cast("bigint").alias("seq"), F.lit(append_id).alias("append"), F.lit(done).alias("done"),
-                     *_KEYS, "next_offset", "before")
-         .coalesce(1).write.mode("overwrite").parquet(os.path.join(self._marks, f"slot={seq % _SLOTS}")))
+        ends.select(*_KEYS, "next_offset", "before").coalesce(1).write.mode("overwrite").parquet(self._step(seq))
+        (self._spark.range(1, numPartitions=1)
+         .select(F.lit(seq).cast("bigint").alias("seq"), F.lit(append_id).alias("append"), F.lit(done).alias("done"))
+         .write.mode("overwrite").parquet(os.path.join(self._last, f"slot={seq % _SLOTS}")))
 
     def extents(self) -> DataFrame | None:
         return read_or_none(self._spark, _EXTENTS, self._extents)
