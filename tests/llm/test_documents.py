@@ -345,3 +345,31 @@ def test_texts_without_telling_words_match_nothing():
         left = [b for b in bigrams if not words & set(b.split())]
         assert 2 * len(left) / (len(left) + len(bigrams)) < 0.8
     assert len(words) < 150
+
+
+def test_notices_and_texts_have_their_own_names(documents, spark):
+    notice = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by "
+              "the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    redistribution = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following\n"
+                      "conditions are met:")
+    cases = [
+        (notice.format("program", "", "2"), "GPL-2.0"), (notice.format("program", "", "3"), "GPL-3.0"),
+        (notice.format("program", "Affero ", "3"), "AGPL-3.0"), (notice.format("library", "Lesser ", "2.1"), "LGPL-2.1"),
+        ("Licensed under the MIT License.", "MIT"), ("Copyright Somebody\n\n" + redistribution + "\n\n1. and so on", "BSD"),
+    ]
+    cases += [(f"Some words before it\n{text}", name) for name, text in licenses.TEXTS]
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MIT", "MPL-2.0"} <= {name for name, _ in licenses.TEXTS}
+    found = {r.doc_id: r for r in licenses.scanned(documents([(i, text) for i, (text, _) in enumerate(cases)])).collect()}
+    assert [found[i].license for i in range(len(cases))] == [name for _, name in cases]
+
+
+def test_sentences_within_a_line(documents, spark):
+    mpl = dict((n, t) for n, t in licenses.NOTICES)["MPL-2.0"]
+    rows = [(1, "A small tool.  Licensed under the MIT License. Have fun with it, and write to us."), (2, f"Some words. {mpl} More words follow here!"),
+            (3, "Licensed under the MIT License."), (4, "One. Two. Three."), (5, None), (6, ""), (7, "... . .\n.")]
+    plain = {r.doc_id: r for r in licenses.scanned(documents(rows)).collect()}
+    found = {r.doc_id: r for r in licenses.scanned(documents(rows), within_lines=True).collect()}
+    assert plain[1].license is None and len(found) == len(rows)
+    assert tuple(found[1])[1:] == ("MIT", 1.0, "sentences", 1, 1)
+    assert (found[2].license, found[2].dice, found[2].passage_kind) == ("MPL-2.0", 1.0, "sentences")
+    assert all(found[i] == plain[i] for i in (3, 4, 5, 6, 7))

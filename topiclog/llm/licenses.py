@@ -1,6 +1,7 @@
 """License scans: passages of documents against license templates, by the Dice coefficient of their word bigrams.
 
-Passages are the lines of a text, its paragraphs (between blank lines) and the whole text. Both sides are normalised to lower-case
+Passages are the lines of a text, its paragraphs (between blank lines) and the whole text; on demand also runs of sentences within a
+line. Both sides are normalised to lower-case
 words of letters and digits. With a passage of n and a template of m distinct bigrams the coefficient is at most 2 min(n, m) / (n + m),
 so only templates whose size lies within bounds of the passage's are compared. The same bounds say how many of a template's bigrams a
 passage must share at least; a text without certain words of each template cannot, and is passed over. All of this happens
@@ -10,6 +11,8 @@ in the row that holds the text: nothing is shuffled.
 from __future__ import annotations
 
 import math
+from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +22,20 @@ THRESHOLD = 0.8
 MOST_TEMPLATES = 500
 
 # Wordings of common license notices, as their publishers state them.
-TEMPLATES: tuple[tuple[str, str], ...] = (
+NOTICES: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically "
+     "designed to ensure cooperation with the community in the case of network server software."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
      "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+     "conditions are met:"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+     "derived from this software without specific prior written permission."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -31,13 +43,26 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "version 2 as published by the Free Software Foundation."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
      "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
      "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public "
+     "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "This project is licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
      'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, '
      "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
@@ -46,8 +71,17 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
      "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Sentences of a line that are compared together at most: the longest of NOTICES has three, counting the dot in "v. 2.0".
+MOST_SENTENCES = 3
+_SENTENCE = "\u0001"
+# Whole texts, a file each, named by license.
+TEXTS: tuple[tuple[str, str], ...] = tuple(
+    (file.stem, " ".join(file.read_text(encoding="utf-8").split())) for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")))
+TEMPLATES = NOTICES + TEXTS
 # Words that most texts have.
-_COMMON = frozenset("a an and any as at be by can for free from if in is it its may not of on or that the this to under use was with you".split())
+_COMMON = frozenset(
+    "1 2 3 a all an and any are as at be been but by can do each for free from has have if in is it its make may means more no not of on one only or "
+    "s shall so than that the their there these they this those to under use was we when which will with within without you your".split())
 COLUMNS = ("doc_id", "license", "dice", "passage_kind", "passage_no", "matches")
 
 
@@ -61,16 +95,18 @@ def telling_words(templates: list[list[str]], threshold: float) -> list[str]:
     """Words of which a text must hold at least one to match any of the templates (lists of bigrams).
 
     A match shares at least threshold / (2 - threshold) of the template's bigrams. Words are chosen, common ones last and else
-    the longest first, until the bigrams that hold one of them are more than a match may lack: a text without these words lacks them all.
+    those in most bigrams first, until the bigrams that hold one of them are more than a match may lack: a text without these words lacks
+    them all.
     """
     chosen: set[str] = set()
     for bigrams in templates:
         may_lack = len(bigrams) - math.ceil(len(bigrams) * threshold / (2 - threshold) - 1e-9)
-        left = [set(b.split(" ")) for b in bigrams]
-        for word in sorted({w for b in left for w in b}, key=lambda w: (w in _COMMON, -len(w), w)):
-            if sum(bool(b & chosen) for b in left) > may_lack:
-                break
+        left = [b for b in (set(b.split(" ")) for b in bigrams) if not b & chosen]
+        while len(bigrams) - len(left) <= may_lack:
+            held = Counter(w for b in left for w in b)
+            word = min(held, key=lambda w: (w in _COMMON, -held[w], -len(w), w))
             chosen.add(word)
+            left = [b for b in left if word not in b]
     return sorted(chosen)
 
 
@@ -79,6 +115,19 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}\\n]+", " ")
 
 
+def sentence_runs(text: Column) -> Column:
+    """Normalised runs of 1 to MOST_SENTENCES sentences that are less than their line, line by line, the shorter first."""
+    marked = F.regexp_replace(F.lower(text), "[.!?][\"')\\]]*[ \\t]+", _SENTENCE)
+    lines = F.split(F.regexp_replace(marked, f"[^\\p{{L}}\\p{{N}}\\n{_SENTENCE}]+", " "), "\n")
+
+    def runs(parts: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size(parts) - 1, F.lit(MOST_SENTENCES))), lambda k: F.transform(
+            F.sequence(F.lit(1), F.size(parts) - k + 1), lambda j: F.array_join(F.slice(parts, j, k), " "))))
+
+    parts = F.filter(F.transform(lines, lambda line: F.split(F.btrim(line, F.lit(" " + _SENTENCE)), _SENTENCE)), lambda p: F.size(p) > 1)
+    return F.flatten(F.transform(parts, runs))
+
+
 def _bigrams(passage: Column) -> Column:
     words = F.split(F.btrim(F.regexp_replace(passage, "[ \\n]+", " ")), " ")
     pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
@@ -87,11 +136,12 @@ def _bigrams(passage: Column) -> Column:
 
 
 def scanned(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD,
-            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            id_col: str = "doc_id", text_col: str = "text", within_lines: bool = False) -> DataFrame:
     """One row per document: doc_id, license, dice, passage_kind, passage_no, matches.
 
     ``matches`` counts the passages whose best template reaches ``threshold``; the other columns tell of the best of them: the highest
-    coefficient, then the longer kind of passage (line, paragraph, text), then the first. Of templates with equal coefficients the one
+    coefficient, then the longer kind of passage (sentences, line, paragraph, text), then the first. Sentences are compared only
+    with ``within_lines``, which :func:`oracle` does not know. Of templates with equal coefficients the one
     that comes first in the list wins. Documents without a match, with null or empty text have nulls and 0
     matches. Passages of fewer than two words match nothing. Repeated rows are judged alike; an empty table gives no rows.
     """
@@ -105,7 +155,7 @@ def scanned(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = min(len(b) for _, b in known) * low, max(len(b) for _, b in known) * high
     sizes = F.array(*(F.struct(F.lit(i).alias("nth"), F.lit(len(b)).alias("size"), F.lit(name).alias("name"),
-                               F.array(*map(F.lit, b)).alias("bigrams")) for i, (name, b) in enumerate(known)))
+                               F.split(F.lit(",".join(b)), ",").alias("bigrams")) for i, (name, b) in enumerate(known)))
 
     def dice(bigrams: Column, template: Column) -> Column:
         return 2.0 * F.size(F.array_intersect(bigrams, template["bigrams"])) / (F.size(bigrams) + template["size"])
@@ -116,17 +166,18 @@ def scanned(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
         return F.array_max(F.filter(rated, lambda r: r["dice"] >= threshold - 1e-9))
 
     def passages(kind: int, name: str, parts: Column) -> Column:
-        rated = F.transform(parts, lambda p, i: F.struct(_bigrams(p).alias("bigrams"), i.alias("i")))
-        fitting = F.filter(rated, lambda r: (F.size(r["bigrams"]) >= least - 1e-9) & (F.size(r["bigrams"]) <= most + 1e-9))
-        return F.transform(fitting, lambda r: F.struct(
-            best(r["bigrams"]).alias("best"), F.lit(kind).alias("kind"), F.lit(name).alias("name"), r["i"].alias("i")))
+        rated = F.transform(parts, lambda p, i: F.struct(_bigrams(p).alias("bigrams"), F.lit(kind).alias("kind"), F.lit(name).alias("name"), i.alias("i")))
+        return F.filter(rated, lambda r: (F.size(r["bigrams"]) >= least - 1e-9) & (F.size(r["bigrams"]) <= most + 1e-9))
 
     norm = F.col("__norm")
     words = F.array(*map(F.lit, telling_words([b for _, b in known], threshold)))
-    matching = F.filter(F.concat(
-        passages(0, "line", F.split(norm, "\n")), passages(1, "paragraph", F.split(norm, "\n *\n[ \n]*")), passages(2, "text", F.array(norm))),
-        lambda p: p["best"].isNotNull())
-    found = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("__norm")).select(
+    # The templates are in the plan once, for passages of all kinds.
+    fitting = F.concat(
+        passages(0, "line", F.split(norm, "\n")), passages(1, "paragraph", F.split(norm, "\n *\n[ \n]*")), passages(2, "text", F.array(norm)),
+        *([passages(-1, "sentences", sentence_runs(F.col("__raw")))] if within_lines else []))
+    matching = F.filter(F.transform(fitting, lambda r: F.struct(best(r["bigrams"]).alias("best"), r["kind"], r["name"], r["i"])),
+                        lambda p: p["best"].isNotNull())
+    found = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("__norm"), F.col(text_col).alias("__raw")).select(
         "doc_id", F.when(F.arrays_overlap(F.split(norm, "[ \n]"), words), matching).alias("__found"))
     top = F.array_max(F.transform("__found", lambda p: F.struct(
         p["best"]["dice"].alias("dice"), p["kind"].alias("kind"), (-p["i"]).alias("order"), p["best"]["license"].alias("license"), p["name"].alias("name"))))
