@@ -1,4 +1,5 @@
 import collections
+import os
 import re
 import zlib
 
@@ -6,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from topiclog.llm import language, licenses, mixing, packing, quality, sharding
+from topiclog.llm import language, licenses, mixing, packing, quality, queries, sharding
 
+SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
 
@@ -48,6 +50,18 @@ def test_shards_by_brute_force(spark, documents, generated):
     assert {r.doc_id: (r.shard, r.slot) for r in sharding.sharded(docs, 4).collect()} == expected
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+def test_the_query_shards_texts(spark, monkeypatch):
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = queries.op3_stratified_sharding(spark, SF_DIR).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {i: (len(t) + 1, zlib.crc32(t)) for i, t in docs.items()}
+    real = sharding.sharded
+    monkeypatch.setattr(sharding, "sharded", lambda *a, **k: real(*a, **k).withColumn("text", F.lit("out")))
+    out = queries.op3_stratified_sharding(spark, SF_DIR).collect()
+    assert {(r.size, r.text_crc32) for r in out} == {(4, zlib.crc32(b"out"))}
+    assert {(r.doc_id, r.shard, r.slot) for r in out} == {(r.doc_id, r.shard, r.slot) for r in rows}
+
+
 def test_shards_of_odd_tables(documents, spark, tmp_path):
     assert sharding.sharded(documents([]), 3).count() == 0
     same = sharding.sharded(documents([(None, None)] * 5 + [(1, "a", None, "s")] * 2), 3)

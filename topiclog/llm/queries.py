@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclog.llm import exactdup, language, licenses, mixing, neardup, packing, quality, sharding, topk, urls
@@ -20,12 +20,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only digests of the texts are sharded here; the operator shards any columns, texts included."""
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    return sharding.sharded(docs, 16, key_cols=("doc_id", "text_crc32", "size")).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    """Documents are sharded with their texts; the digests returned are of the texts that come out."""
+    def digests() -> list[Column]:
+        text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+        return [(F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")]
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", *digests())
+    placed = sharding.sharded(docs, 16, key_cols=("doc_id", "text_crc32", "size")).drop("size", "text_crc32")
+    return placed.select("doc_id", *digests(), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
