@@ -215,6 +215,24 @@ def test_sequences_hold_every_id_once(documents, generated):
     assert packing.sequences(documents([])).count() == 0
 
 
+def test_groups_follow_pieces(documents, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 8)
+    pieces = packing.sequences(documents([(i, f"word{i} " * 900) for i in range(4)]), length=16).collect()
+    assert len(pieces) > 200
+    assert max(collections.Counter(p.sequence_id >> 32 for p in pieces).values()) <= 32
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+def test_the_query_packs_ids(spark, monkeypatch):
+    cut = packing.pieces(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    expected = {(r.doc_id, r.start, r.length, zlib.crc32(r.ids)) for r in cut.collect()}
+    real, taken = packing.packed, []
+    monkeypatch.setattr(packing, "packed", lambda rows, *a, **k: taken.append(rows.columns) or real(rows, *a, **k))
+    rows = queries.op5_packing(spark, SF_DIR).collect()
+    assert "ids" in taken[0]
+    assert {(r.doc_id, r.start, r.length, r.ids_crc32) for r in rows} == expected
+
+
 # Quality
 
 @pytest.fixture(scope="module")

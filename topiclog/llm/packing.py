@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topiclog.llm.base import bounded_batches, others, per_process
+from topiclog.llm.base import bounded_batches, others, per_process, stored
 from topiclog.llm.textbytes import CHUNK_BYTES, cut
 
 LENGTH = 2048
 END_ID = 1
-# Documents for each group, on average: large enough that the last sequences of a group hardly count.
+# Pieces for each group, on average: large enough that the last sequences of a group hardly count.
 GROUP_ROWS = 4096
 TOKENIZER = "word_bpe_49k.json"
 # Distinct white-space separated strings whose ids a worker process remembers before it forgets them all.
@@ -215,7 +215,7 @@ def _placer(length: int):
 def packed(cut_pieces: DataFrame, rows: int, length: int = LENGTH, seed: int = 0) -> DataFrame:
     """``cut_pieces`` (doc_id, start, length and any other columns) with sequence_id and offset.
 
-    Sequences hold at most ``length`` ids, offsets in them have no gaps. ``rows`` is about the number of documents;
+    Sequences hold at most ``length`` ids, offsets in them have no gaps. ``rows`` is about the number of pieces;
     it sets the number of groups. Pieces are dealt by a hash of document, place and length, so a long document spreads over groups
     and a task run again deals the same. Columns with the names of the result are replaced.
     """
@@ -228,5 +228,9 @@ def packed(cut_pieces: DataFrame, rows: int, length: int = LENGTH, seed: int = 0
 
 
 def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
-    """All ``docs`` packed, with their ids: one row per piece (:func:`pieces` and :func:`packed`)."""
-    return packed(pieces(docs, id_col, text_col, length, tokenizer), docs.count(), length)
+    """All ``docs`` packed, with their ids: one row per piece (:func:`pieces` and :func:`packed`).
+
+    The pieces are written once, so that they are counted before they are dealt: a group's size does not grow with the texts.
+    """
+    cut_pieces = stored(pieces(docs, id_col, text_col, length, tokenizer), "pieces")
+    return packed(cut_pieces, cut_pieces.count(), length)
