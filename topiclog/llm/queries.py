@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclog.llm import exactdup, language, licenses, mixing, neardup, packing, quality, sharding, topk, urls
+from topiclog.llm import codes, exactdup, infill, language, licenses, mixing, neardup, packing, pieces, quality, sharding, topk, urls
 from topiclog.llm.base import table
 
 
@@ -64,10 +64,30 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests are of the ids and texts that come out."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return pieces.tokenized(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "agreed")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests are of the outputs and of the texts restored from them."""
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_license_scan, op2_quality_classifier, op3_stratified_sharding, op4_url_filter, op5_packing, op6_exact_dedup,
-        op7_language_id, op8_exact_topk, op9_minhash_near_dedup, op10_source_mixing,
+        op7_language_id, op8_exact_topk, op9_minhash_near_dedup, op10_source_mixing, op11_sentencepiece, op12_vector_codes, op13_fill_in_middle,
     )
 }
 # SQL where it can express the operator.
@@ -76,4 +96,6 @@ ORACLE: dict[str, str] = {
     "op4_url_filter": urls.ORACLE,
     "op6_exact_dedup": exactdup.ORACLE,
     "op8_exact_topk": topk.ORACLE,
+    "op12_vector_codes": codes.oracle(),
+    "op13_fill_in_middle": infill.ORACLE,
 }
