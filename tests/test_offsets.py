@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +278,82 @@ def test_offset_gaps_shuffle_the_messages_once(spark, path):
     final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("ReusedExchange") == 1 and final.count("REPARTITION_BY_COL") <= initial
     assert final.count("ENSURE_REQUIREMENTS") == 1
+
+
+# A ledger that is folded
+
+def files_below(folder):
+    return sorted(os.path.relpath(os.path.join(d, f), folder) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
+
+
+def test_reading_and_committing_does_not_grow_with_the_commits(spark, path, monkeypatch):
+    monkeypatch.setattr("topiclog.sources.ledger.FOLD", 4)
+    ledger = CommitLedger.create(spark, path("long"))
+    read, kept = [], []
+    for i in range(42):
+        ledger.commit("g", offsets_frame(spark, {"t": {i % 5: i, 7: 2 * i}}), "kafka", entry=f"batch-{i}")
+        if i % 4 == 1:
+            read.append(len(ledger.commits("g").inputFiles()))
+            kept.append(len(files_below(path("long"))))
+    # A snapshot and the commits behind it; on disk those that counted until the last switch as well, and the slots of two pointers.
+    assert read == [2] + [3] * 10
+    assert max(kept) <= 1 + 2 + 5 + 4 + 1 and kept[-1] == kept[3]
+    expected = {("t", p): max(i for i in range(42) if i % 5 == p) for p in range(5)} | {("t", 7): 82}
+    for found in (ledger.commits("g"), ledger.commits()):
+        assert {(r.topic, r.partition): r.offset for r in offsets.current_commits(found).collect()} == expected
+    assert ledger.next_seq("g") == 43
+
+
+def test_readers_keep_their_version_while_the_ledger_is_folded(spark, path, rows, monkeypatch):
+    monkeypatch.setattr("topiclog.sources.ledger.FOLD", 4)
+    ledger = CommitLedger.create(spark, path("versions"))
+    for i in range(6):
+        ledger.commit("g", offsets_frame(spark, {"t": {0: i}}), "kafka")
+    before = ledger.commits("g")
+    for i in range(6, 9):
+        ledger.commit("g", offsets_frame(spark, {"t": {0: i}}), "kafka")
+    assert [r.offset for r in offsets.current_commits(before).collect()] == [5]
+    assert [r.offset for r in offsets.current_commits(ledger.commits("g")).collect()] == [8]
+
+
+def test_groups_loads_and_rewinds_through_a_fold(spark, path, rows):
+    history = "group_id string, topic string, partition int, offset bigint, storage string, commit_seq bigint"
+    ledger = CommitLedger(spark, path("loaded"))
+    ledger.load(spark.createDataFrame([("g", "t", 0, 50, "kafka", 8), ("g", "t", 1, 60, None, 9), ("h.1/x", "t", 0, 7, "kafka", 3), ("g", "t", 0, 40, "kafka", 7)], history), "history")
+    state = lambda found: rows(offsets.current_commits(found).select("group_id", "storage", "partition", "offset"))
+    loaded = [("g", "kafka", 0, 50), ("g", "zookeeper", 1, 60), ("h.1/x", "kafka", 0, 7)]
+    assert state(ledger.commits()) == loaded
+    ledger.commit("g", offsets_frame(spark, {"t": {0: 5}}), "kafka")
+    ledger.fold("g")
+    ledger.fold("h.1/x")
+    rewound = [("g", "kafka", 0, 5), *loaded[1:]]
+    assert state(ledger.commits()) == rewound
+    assert state(ledger.commits("g")) == rewound[:2] and state(ledger.commits("h.1/x")) == rewound[2:]
+    assert ledger.commits().count() == 3
+    # A load again is read again, and its own numbers say what is last.
+    ledger.load(spark.createDataFrame([("g", "t", 0, 99, "kafka", 1), ("g", "t", 1, 61, "zookeeper", 1000), ("i", "t", 0, 1, "kafka", 1)], history), "history")
+    assert state(ledger.commits()) == [("g", "kafka", 0, 5), ("g", "zookeeper", 1, 61), ("h.1/x", "kafka", 0, 7), ("i", "kafka", 0, 1)]
+    ledger.commit("g", offsets_frame(spark, {"t": {1: 3}}))
+    assert state(ledger.commits("g")) == [("g", "kafka", 0, 5), ("g", "zookeeper", 1, 3)]
+    ledger.fold("i")
+    assert state(ledger.commits("i")) == [("i", "kafka", 0, 1)] and ledger.commits("nobody").count() == 0
+
+
+def test_a_ledger_of_the_older_layout_is_taken_over(spark, path, rows):
+    old = spark.createDataFrame([("g", "t", 0, 4, None, "kafka", 6, None)], "group_id string, topic string, partition int, offset bigint, metadata string, storage string, commit_seq bigint, committed_at timestamp")
+    old.write.parquet(path("old") + "/entry=reader-3")
+    ledger = CommitLedger(spark, path("old"))
+    assert ledger.next_seq("g") == 7
+    ledger.commit("g", offsets_frame(spark, {"t": {1: 2}}), "kafka")
+    assert rows(offsets.current_commits(ledger.commits()).select("partition", "offset")) == [(0, 4), (1, 2)]
+
+
+def test_a_commit_begun_and_not_finished_does_not_count(spark, path, rows):
+    ledger = CommitLedger.create(spark, path("torn"))
+    ledger.commit("g", offsets_frame(spark, {"t": {0: 1}}), "kafka")
+    torn = ledger.commits("g").withColumn("offset", F.lit(77)).withColumn("commit_seq", F.lit(2)).withColumn("part", F.lit(2))
+    torn.write.parquet(ledger._part("g", 2))
+    for found in (ledger.commits("g"), ledger.commits()):
+        assert [r.offset for r in offsets.current_commits(found).collect()] == [1]
+    ledger.commit("g", offsets_frame(spark, {"t": {0: 3}}), "kafka")
+    assert [r.offset for r in offsets.current_commits(ledger.commits()).collect()] == [3]

@@ -36,17 +36,17 @@ def failed(responses: DataFrame) -> DataFrame:
 
 def current_commits(commits: DataFrame) -> DataFrame:
     """Last write of each group, storage and partition; not the largest, since a rewind lowers it."""
-    return commits.groupBy("group_id", _stored().alias("storage"), *KEYS).agg(
+    return commits.groupBy("group_id", stored_storage().alias("storage"), *KEYS).agg(
         F.max_by("offset", "commit_seq").alias("offset"))
 
 
-def _stored() -> Column:
-    # A commit without a storage counts as ZooKeeper's.
+def stored_storage() -> Column:
+    """The storage of a commit; one without counts as ZooKeeper's."""
     return F.coalesce(F.col("storage"), F.lit(read_storage(None)))
 
 
 def _of_group(commits: DataFrame, group_id: str, storage: str | None) -> DataFrame:
-    return commits.where((F.col("group_id") == group_id) & (_stored() == read_storage(storage)))
+    return commits.where((F.col("group_id") == group_id) & (stored_storage() == read_storage(storage)))
 
 
 def committed_offsets(partitions: DataFrame, commits: DataFrame, group_id: str, storage: str | None = None) -> DataFrame:

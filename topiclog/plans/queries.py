@@ -79,7 +79,7 @@ def project_message(spark, sf_dir):
 
 
 def _positions(log: TopicLog, ledger: CommitLedger) -> DataFrame:
-    return offsets.positions(log.catalog(), ledger.commits(), views.GROUP)
+    return offsets.positions(log.catalog(), ledger.commits(views.GROUP), views.GROUP)
 
 
 @query
@@ -92,7 +92,7 @@ def poll_n(spark, sf_dir):
 def _read_from_start(spark, sf_dir, reset):
     log = views.event_log(spark, sf_dir)
     starts = offsets.start_positions(
-        log.catalog(), views.event_ledger(spark, sf_dir).commits(), log.watermarks(), views.GROUP, reset, "kafka")
+        log.catalog(), views.event_ledger(spark, sf_dir).commits(views.GROUP), log.watermarks(), views.GROUP, reset, "kafka")
     return _readable(log.after(starts))
 
 
@@ -251,11 +251,11 @@ def current_commits(spark, sf_dir):
 def committed_offsets(spark, sf_dir):
     log, ledger = views.event_log(spark, sf_dir), views.event_ledger(spark, sf_dir)
     wanted = requests.valid_partitions(views.requests(spark, sf_dir), log.catalog())
-    return offsets.positions(wanted, ledger.commits(), views.GROUP)
+    return offsets.positions(wanted, ledger.commits(views.GROUP), views.GROUP)
 
 
 def _metadata(log: TopicLog, ledger: CommitLedger, storage: str | None = None) -> DataFrame:
-    return offsets.offsets_metadata(log.catalog(), ledger.commits(), log.watermarks(), views.GROUP, storage)
+    return offsets.offsets_metadata(log.catalog(), ledger.commits(views.GROUP), log.watermarks(), views.GROUP, storage)
 
 
 @query
@@ -278,7 +278,7 @@ def lag_one_topic(spark, sf_dir):
     log, ledger = views.event_log(spark, sf_dir), views.event_ledger(spark, sf_dir)
     wanted = requests.checked_partitions(
         requests.requests_frame(spark, {"scribe.dc0.view": [1, 2, 3]}), log.catalog())
-    return offsets.lag(offsets.offsets_metadata(wanted, ledger.commits(), log.watermarks(), views.GROUP))
+    return offsets.lag(offsets.offsets_metadata(wanted, ledger.commits(views.GROUP), log.watermarks(), views.GROUP))
 
 
 @query

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,14 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders in whatever file system Spark writes them to; those that are not there are passed over."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after counting it; larger sides take a shuffled join.
 

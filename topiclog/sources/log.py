@@ -24,7 +24,8 @@ from topiclog.errors import AppendError, UnknownTopicError
 from topiclog.functions.patterns import starts_matching
 from topiclog.operators.numbering import ROWS_PER_PIECE, dense_index
 from topiclog.session import broadcast_if_small, pinned
-from topiclog.sources.marks import Marks, read_or_none
+from topiclog.sources.marks import Marks
+from topiclog.sources.pointer import read_or_none
 
 PARTITION_KEYS = ["topic", "partition"]
 

@@ -243,7 +243,7 @@ def live_lag(
     next_offset``) adds the partitions that have had no message yet.
     """
     def run(marks: DataFrame, batch_id: int) -> None:
-        commits = ledger.within(marks.sparkSession).commits()
+        commits = ledger.within(marks.sparkSession).commits(group_id)
         if heads is not None:
             marks = heads.join(marks, _KEYS, "left").select(
                 *_KEYS, *[F.coalesce(mark, "next_offset").alias(mark) for mark in ("lowmark", "highmark")])
