@@ -1,9 +1,11 @@
+import os
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from topiclog import TopicLog
-from topiclog.errors import UnknownTopicError
+from topiclog.errors import AppendError, UnknownTopicError
 
 INPUT = "topic string, key binary, value binary, seq bigint"
 
@@ -110,8 +112,8 @@ def test_reading_from_positions_prunes_appends(spark, log, rows):
     starts = spark.createDataFrame([("topic", 0, 3)], "topic string, partition int, start bigint")
     found = log.after(starts)
     assert [r[4] for r in rows(text(found))] == ["d"]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+    assert len(found.inputFiles()) == 1 and "append=new" in found.inputFiles()[0]
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_a_large_side_is_not_broadcast(spark):
@@ -225,6 +227,7 @@ def test_an_append_that_never_finished_is_seen_by_the_next(spark, log, rows):
     lost.withColumn("timestamp", F.current_timestamp()).write.partitionBy("topic", "partition").parquet(log.path + "/append=lost")
     log.append_keyed(one(spark, 1), ["seq"], "a1")
     assert [(r[2], r[4]) for r in rows(text(log.messages()))] == [(0, "m0"), (1, "left behind"), (2, "m1")]
+    assert rows(log.after(starts_at(spark, 0))) == rows(log.messages())
     assert {(r.topic, r.partition): r.highmark for r in log.watermarks().collect()}[("topic", 0)] == 3
 
 
@@ -234,7 +237,7 @@ def test_a_log_without_head_table_goes_on(spark, log, rows, tmp_path):
     for i in range(2):
         log.append_keyed(one(spark, i), ["seq"], f"a{i}")
     old = TopicLog(spark, str(tmp_path / "old"))
-    shutil.copytree(log.path, old.path, ignore=shutil.ignore_patterns("_marks", "_last", "_extents"))
+    shutil.copytree(log.path, old.path, ignore=shutil.ignore_patterns("_marks", "_last", "_extents", "_manifest"))
     assert rows(old.watermarks()) == rows(log.watermarks())
     old.append_keyed(one(spark, 2), ["seq"], "a2")
     assert [(r[2], r[4]) for r in rows(text(old.messages()))] == [(0, "m0"), (1, "m1"), (2, "m2")]
@@ -264,3 +267,97 @@ def test_marks_stay_readable(spark, log, rows):
     for i in range(1, 4):
         log.append_keyed(one(spark, i), ["seq"], f"a{i}")
     assert rows(marks) == expected
+
+
+# The manifest
+
+def test_only_wanted_directories_are_listed_among_a_million(spark, log, rows, monkeypatch):
+    log.append_unkeyed(batch(spark, "a", "b"), ["seq"], "old")
+    log.append_unkeyed(batch(spark, "c", "d"), ["seq"], "new")
+    many = spark.range(1_000_000).select(
+        F.concat(F.lit("x"), F.col("id") % 1000).alias("append"), F.lit(None).cast("bigint").alias("generation"),
+        F.concat(F.lit("other"), F.col("id") % 997).alias("topic"), F.lit(0).alias("partition"),
+        F.lit(0).cast("bigint").alias("first_offset"), F.lit(9).cast("bigint").alias("last_offset"), F.lit(10).cast("bigint").alias("messages"))
+    kept = log.extents()
+    monkeypatch.setattr(type(log), "extents", lambda self: kept.unionByName(many))
+    found = log.after(spark.createDataFrame([("topic", 0, 3)], "topic string, partition int, start bigint"))
+    assert len(found.inputFiles()) == 1
+    assert [r[4] for r in rows(text(found))] == ["d"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 10_000])
+def test_directories_are_read_in_blocks(spark, log, rows, monkeypatch, size):
+    monkeypatch.setattr("topiclog.sources.log.BLOCK_DIRECTORIES", size)
+    for name in ("one", "two"):
+        log.append_unkeyed(batch(spark, *[f"{name}{i}" for i in range(12)], topic="wide"), ["seq"], name)
+    starts = spark.createDataFrame([("wide", p, p, f"r{p}") for p in range(5)] + [("topic", 0, 0, "r")], "topic string, partition int, start bigint, tag string")
+    whole = log.messages().join(starts, ["topic", "partition"]).where("offset >= start").drop("start")
+    assert rows(log.after(starts, ["tag"]).select(*whole.columns)) == rows(whole)
+    first_two = whole.select("partition", "offset").join(starts.where("topic = 'wide'").select("partition", "start"), "partition").where("offset < start + 2")
+    assert rows(log.after(starts, count=2).select("partition", "offset")) == rows(first_two.select("partition", "offset"))
+    assert log.after(starts.where("topic = 'topic'"), ["tag"]).collect() == []
+
+
+def test_topics_with_odd_names_are_found(spark, path, rows):
+    names = ["a b", "50%", "x/y", "k=v", "q?{1}[2]", "star*", "ü#:", "back\\slash", "quote'\"", "^~"]
+    log = TopicLog.create(spark, path("odd"), spark.createDataFrame([(n, 0) for n in names], "topic string, partition int"))
+    given = spark.createDataFrame([(n, None, n.encode(), i) for i, n in enumerate(names)], INPUT)
+    log.append_unkeyed(given, ["seq"], "a")
+    assert rows(log.assigned(log.catalog()).select("topic", F.decode("value", "UTF-8"))) == sorted((n, n) for n in names)
+
+
+def test_the_manifest_is_merged_and_stays_small(spark, log, rows, monkeypatch):
+    monkeypatch.setattr("topiclog.sources.manifest.FOLD", 2)
+    monkeypatch.setattr("topiclog.sources.marks.KEPT_STEPS", 4)
+    for i in range(5):
+        log.append_keyed(batch(spark, str(i), key=b"k"), ["seq"], f"a{i}")
+    files = log.extents().inputFiles()
+    assert sum("base=" in f for f in files) == 1 and len(files) <= 1 + 2 + 2
+    assert [(r.append, r.first_offset) for r in log.extents().orderBy("first_offset").collect()] == [(f"a{i}", i) for i in range(5)]
+    assert rows(log.extents().drop("generation")) == rows(log.footer_extents().select("append", "topic", "partition", "first_offset", "last_offset", "messages"))
+    # An append that is in the base already, repeated with more messages.
+    log.append_keyed(batch(spark, "4", "5", key=b"k"), ["seq"], "a4")
+    log.append_keyed(batch(spark, "6", key=b"k"), ["seq"], "a9")
+    assert [r.value.decode() for r in log.after(starts_at(spark, 3)).orderBy("offset").collect()] == ["3", "4", "5", "6"]
+    assert len([d for d in os.listdir(os.path.join(log.path, "_marks")) if d.startswith("step=")]) == 4
+
+
+def starts_at(spark, offset):
+    return spark.createDataFrame([("topic", 0, offset)], "topic string, partition int, start bigint")
+
+
+def test_compaction_keeps_messages_marks_and_readers(spark, log, rows, monkeypatch):
+    monkeypatch.setattr("topiclog.sources.manifest.FOLD", 3)
+    for i in range(5):
+        log.append_unkeyed(batch(spark, *[f"{i}-{j}" for j in range(5)], topic="wide"), ["seq"], f"a{i}")
+    starts = spark.createDataFrame([("wide", p, 3) for p in range(5)], "topic string, partition int, start bigint")
+    state = lambda: (rows(log.watermarks()), rows(log.messages()), rows(log.after(starts)), rows(log.topic("wide", [2])))
+    before, early, early_after = state(), log.messages(), log.after(starts)
+    assert log.compact() == sorted(f"a{i}" for i in range(5))
+    assert state() == before
+    assert rows(early) == before[1] and rows(early_after) == before[2]
+    assert log.messages().select(F.input_file_name()).distinct().count() == 5
+    assert {r.generation is None for r in log.extents().collect()} == {False}
+    # The log goes on, and a merged append cannot be made again.
+    log.append_unkeyed(batch(spark, "later", topic="wide"), ["seq"], "b")
+    with pytest.raises(AppendError, match="merged"):
+        log.append_unkeyed(batch(spark, "x", topic="wide"), ["seq"], "a3")
+    grown = state()
+    assert len(grown[1]) == len(before[1]) + 1
+    assert log.vacuum() == sorted(f"a{i}" for i in range(5)) and log.vacuum() == []
+    assert state() == grown and not any(d.startswith("append=a") for d in os.listdir(log.path))
+    # A generation and later appends are not merged again with a single append; two are.
+    assert log.compact() == []
+    log.append_unkeyed(batch(spark, "last", topic="wide"), ["seq"], "c")
+    assert log.compact() == ["b", "c"]
+    assert len(rows(log.messages())) == 27 and rows(log.watermarks()) == rows(log._footer_watermarks())
+
+
+def test_nothing_to_merge_and_unfinished_appends(spark, log):
+    with pytest.raises(AppendError):
+        log.compact()
+    log.append_unkeyed(batch(spark, "a"), ["seq"], "one")
+    assert log.compact() == [] and log.vacuum() == []
+    log._marks.publish(log._marks.ends(log._marks.last()), "two", False, log._marks.last())
+    with pytest.raises(AppendError, match="two"):
+        log.compact()

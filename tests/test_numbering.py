@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from topiclog.operators.numbering import _cuts, dense_index
+from topiclog.operators import numbering
+from topiclog.operators.numbering import dense_index, store_in_order
 
 
 @pytest.fixture(scope="module")
@@ -30,20 +31,26 @@ def test_pieces_give_the_same_numbers_as_one_window(skewed, within, order_by, ro
     assert split.exceptAll(whole).isEmpty()
 
 
-def test_only_hot_groups_are_cut(skewed):
-    cuts = _cuts(skewed, ["id"], ["topic"], 1_000)
-    assert list(cuts) == [("hot",)]
-    assert 6 <= len(cuts[("hot",)]) <= 12
-
-
-def test_the_window_of_a_hot_group_is_cut(skewed):
-    plan = dense_index(skewed, ["id"], ["topic"], "index", 1_000)._jdf.queryExecution().toString()
-    assert "hashpartitioning(topic" in plan and "_piece" in plan
-
-
-def test_few_rows_take_one_window(skewed):
-    plan = dense_index(skewed, ["id"], ["topic"], "index", 20_000)._jdf.queryExecution().toString()
-    assert "_piece" not in plan
+def test_parts_are_even_and_follow_each_other(spark, skewed, path):
+    store_in_order(skewed, ["at", "id"], ["topic"], path("parts"), 1_000)
+    parts = spark.read.parquet(path("parts")).groupBy(F.shiftright("_place", 33).alias("part")).agg(
+        F.count("*").alias("rows"), F.min(F.struct("topic", "at", "id")).alias("first"), F.max(F.struct("topic", "at", "id")).alias("last"),
+        F.countDistinct("topic").alias("topics")).orderBy("part").collect()
+    # The hot topic has 9,001 rows: no part is much larger than the others, so it lies in many.
+    assert 18 <= len(parts) <= 20 and max(p["rows"] for p in parts) < 2_000
+    assert sum(p["first"].topic <= "hot" <= p["last"].topic for p in parts) >= 7
+    assert all(a["last"] < b["first"] for a, b in zip(parts, parts[1:]))
+
+
+def test_one_plan_whatever_the_size(skewed, monkeypatch):
+    plans = []
+    for rows_per_piece in (1_000, 20_000):
+        plan = dense_index(skewed, ["id"], ["topic"], "index", rows_per_piece)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Join" in plan
+        plans.append(plan.count("Join"))
+    assert plans == [1, 1]
+    monkeypatch.setattr(numbering, "broadcast_if_small", lambda df: df)
+    assert dense_index(skewed, ["id"], ["topic"], "index", 100).exceptAll(plain(skewed, ["id"], ["topic"])).isEmpty()
 
 
 def test_ties_and_nulls_in_the_order(spark):

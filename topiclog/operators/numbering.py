@@ -1,27 +1,25 @@
-"""Dense 0, 1, 2, … numbering that does not put a hot group into one task.
+"""Dense 0, 1, 2, … numbering that does not put a hot group into one task: a parallel prefix sum.
 
-A plain ``row_number()`` window sends every row of a group to one task, and one topic-partition may hold a
-third of a log. If the largest group is too large, the groups that a sample shows to be so are cut along the *ordering* into pieces of about
-``rows_per_piece`` rows. The window runs inside (group, piece), and the rows in earlier pieces of the same
-group are added from a count table with one row per piece. Small groups stay whole, so the number of
-(group, piece) pairs, and with it the number of files an append writes, stays near rows / rows_per_piece
-plus the number of groups. The rows shuffle once.
+A plain ``row_number()`` window sends every row of a group to one task, and one topic-partition may hold a third of a log. So the rows are
+dealt by ranges of (group, order) to parts of about ``rows_per_piece`` rows, sorted in each and stored once with their place in the part.
+A row's number in its group is then its place, less the first place of the group in the part, plus the rows of the group in earlier parts.
+The last two come from one row per group and part, which is counted from the stored places. A hot group is cut like any other, no group or
+part is looked at on the driver, and because the parts are stored, a task that is run again finds the same numbers.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-ROWS_PER_PIECE = 1_000_000
-# Bounds what the driver samples and what the count table holds; beyond it pieces get larger, not more.
-MAX_PIECES = 16_384
-_SAMPLE_PER_PIECE = 20
+from topiclog.session import broadcast_if_small, new_dir, pinned
+
+ROWS_PER_PIECE = 250_000
+# ``monotonically_increasing_id`` has the task in the upper bits and the row within it in the lower 33.
+_ROW_BITS = 33
 
 
 def dense_index(
@@ -34,97 +32,37 @@ def dense_index(
 ) -> DataFrame:
     """Add ``into``: the 0-based place of each row of a ``within`` group in ascending ``order_by`` order.
 
-    ``rows`` is read more than once and must give the same rows each time (a stored table does).
-    ``within`` columns must not be NULL. Ties in ``order_by`` are numbered in any order. ``total`` is the number
-    of rows, for a caller that has counted them.
+    ``within`` columns must not be NULL. Ties in ``order_by`` are numbered in any order. ``total`` is the number of rows, for a caller
+    that has counted them. The rows are shuffled and stored once, in a new folder of the shared one.
     """
-    within = list(within)
-    total = rows.count() if total is None else total
-    size = max(rows_per_piece, math.ceil(total / MAX_PIECES))
-    cuts = _cuts(rows, order_by, within, size) if total > size and _largest_group(rows, within, total) > size else {}
-    if not cuts:
-        return rows.withColumn(into, _place(within, order_by))
-
-    keyed = _with_hot_group(rows, within, list(cuts)).withColumn(
-        "_piece", _piece(rows.schema, order_by, list(cuts.values())))
-    group = [*within, "_piece"]
-    earlier = Window.partitionBy(*within).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per piece of a hot group: at most MAX_PIECES cuts plus one per hot group.
-    pieces = (
-        keyed.where(F.col("_hot").isNotNull())
-        .groupBy(*group).agg(F.count("*").alias("_rows"))
-        .select(*group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_earlier"))
-    )
-    return (
-        keyed.withColumn(into, _place(group, order_by))
-        .join(F.broadcast(pieces), group, "left")
-        .withColumn(into, F.col(into) + F.coalesce("_earlier", F.lit(0)))
-        .select(*rows.columns, into)
-    )
-
-
-def _largest_group(rows: DataFrame, within: list[str], total: int) -> int:
-    if not within:
-        return total
-    return rows.groupBy(*within).agg(F.count("*").alias("_rows")).agg(F.max("_rows")).first()[0]
-
-
-def _place(group: Sequence[str], order_by: Sequence[str]) -> Column:
-    window = Window.partitionBy(*group).orderBy(*order_by)
-    return F.row_number().over(window).cast("bigint") - 1
-
+    path = new_dir(rows.sparkSession, "numbered")
+    store_in_order(rows, order_by, within, path, rows_per_piece, total)
+    return indexed(rows, within, into, path)
 
-def _cuts(rows: DataFrame, order_by: Sequence[str], within: list[str], size: int) -> dict[tuple, list[str]]:
-    """Cut points (as JSON) of each group that a sample shows to have more than ``size`` rows.
 
-    The sample only decides how even the pieces are, as in a range shuffle; every row is numbered.
-    """
-    fraction = min(1.0, _SAMPLE_PER_PIECE / size)
-    sample = (
-        rows.select(*{*within, *order_by}).sample(fraction, seed=1).orderBy(*order_by)
-        .select(*within, F.to_json(_order_key(order_by)).alias("_key")).collect()
+def store_in_order(
+    rows: DataFrame, order_by: Sequence[str], within: Sequence[str], path: str, rows_per_piece: int = ROWS_PER_PIECE, total: int | None = None,
+) -> None:
+    """Write ``rows`` to ``path`` in parts that follow each other in the order of ``within`` and ``order_by``, with their places."""
+    total = rows.count() if total is None else total
+    keys = [*within, *order_by]
+    (
+        rows.repartitionByRange(max(1, math.ceil(total / rows_per_piece)), *keys).sortWithinPartitions(*keys)
+        # Numbers the sorted rows of a task as they are written.
+        .withColumn("_place", F.monotonically_increasing_id())
+        .write.mode("overwrite").parquet(path)
     )
-    seen: dict[tuple, list[str]] = defaultdict(list)
-    for row in sample:
-        seen[tuple(row[c] for c in within)].append(row["_key"])
-    cuts = {}
-    for group, keys in seen.items():
-        pieces = math.ceil(len(keys) / fraction / size)
-        if pieces > 1:
-            cuts[group] = [keys[len(keys) * i // pieces] for i in range(1, pieces)]
-    return cuts
-
-
-def _order_key(order_by: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
-
-
-def _with_hot_group(rows: DataFrame, within: list[str], hot: list[tuple]) -> DataFrame:
-    """Rows with ``_hot``: the number of their group in ``hot``, NULL for the others."""
-    if not within:
-        return rows.withColumn("_hot", F.lit(0))
-    fields = [rows.schema[c] for c in within] + [T.StructField("_hot", T.IntegerType())]
-    numbers = rows.sparkSession.createDataFrame([(*g, i) for i, g in enumerate(hot)], T.StructType(fields))
-    return rows.join(F.broadcast(numbers), within, "left")
 
 
-def _piece(schema: T.StructType, order_by: Sequence[str], cuts: list[list[str]]) -> Column:
-    """Piece of a row: how many cut points of its group are not behind it; 0 in a small group.
-
-    All cut points together are one literal, searched by halving, so the column gives the same
-    pieces in every plan that uses it and whenever a lost task is run again.
-    """
-    fields = ", ".join(f"k{i}: {schema[c].dataType.simpleString()}" for i, c in enumerate(order_by))
-    text = "[" + ",".join("[" + ",".join(c) + "]" for c in cuts) + "]"
-    points = F.get(F.from_json(F.lit(text), f"array<array<struct<{fields}>>>"), F.col("_hot"))
-    steps = F.array(*[F.lit(1 << e) for e in reversed(range(max(map(len, cuts)).bit_length()))])
-
-    def halving(key: Column) -> Column:
-        return F.aggregate(
-            steps, F.lit(0),
-            lambda low, step: F.when(F.get(points, low + step - 1) <= key, low + step).otherwise(low),
-        )
-
-    # A one-element transform binds the key, which would otherwise be built again in every step.
-    found = F.transform(F.array(_order_key(order_by)), halving)[0]
-    return F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(found)
+def indexed(rows: DataFrame, within: Sequence[str], into: str, path: str) -> DataFrame:
+    """The rows that :func:`store_in_order` wrote to ``path``, with their numbers; ``rows`` tells their columns."""
+    within = list(within)
+    spark = rows.sparkSession
+    stored = (
+        spark.read.schema(rows.withColumn("_place", F.lit(0).cast("bigint")).schema).parquet(path)
+        .withColumn("_part", F.shiftright("_place", _ROW_BITS)))
+    # One row per group and part: at most as many as parts and groups together.
+    counts = stored.groupBy(*within, "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pinned(counts.select(*within, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")))
+    return stored.join(broadcast_if_small(starts), [*within, "_part"]).withColumn(into, F.col("_place") + F.col("_shift")).select(*rows.columns, into)

@@ -51,6 +51,12 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after counting it; larger sides take a shuffled join.
 

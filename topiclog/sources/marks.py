@@ -1,9 +1,9 @@
-"""The head table of a log: where each partition ends, and what each append put where.
+"""The head table of a log: where each partition ends.
 
-An append publishes that it begins, writes its messages and its extents, and then publishes that it is done.
-``_marks/step=<n>`` holds the next offset of every partition after such a step and is never written again, so a
-DataFrame of marks stays readable; ``_last`` names the last step, a few one-row files in turn. So the ends of a log are read
-from a few small files however many appends it has, and an append that was begun but never finished is noticed.
+An append publishes that it begins, writes its messages, and then publishes that it is done. ``_marks/step=<n>`` holds the next
+offset of every partition after such a step and is never written again, so a DataFrame of marks stays readable; ``_last`` names
+the last step, a few one-row files in turn. So the ends of a log are read from a few small files however many appends it
+has, and an append that was begun but never finished is noticed. Steps long past are removed.
 """
 
 from __future__ import annotations
@@ -11,17 +11,16 @@ from __future__ import annotations
 import os
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SLOTS = 4
+from topiclog.session import remove
+from topiclog.sources.pointer import Pointer
+
 _KEYS = ["topic", "partition"]
-_LAST = "seq bigint, append string, done boolean, slot int"
 _MARKS = "topic string, partition int, next_offset bigint, before bigint"
-# A reader may list a slot that is just being replaced; it looks again.
-_TRIES = 5
-_EXTENTS = "topic string, partition int, first_offset bigint, last_offset bigint, messages bigint, append string"
+# Steps whose marks stay readable.
+KEPT_STEPS = 64
 
 
 class Step(NamedTuple):
@@ -32,14 +31,8 @@ class Step(NamedTuple):
     done: bool
 
 
-def read_or_none(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
-    """The table at ``path``; None if there is none."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+# Stands for a step that the caller has not read.
+UNREAD = Step(-1, "", False)
 
 
 class Marks:
@@ -49,22 +42,12 @@ class Marks:
         self._spark = spark
         # Names starting with an underscore are no data to Spark's file listing.
         self._marks = os.path.join(path, "_marks")
-        self._last = os.path.join(path, "_last")
-        self._extents = os.path.join(path, "_extents")
+        self._pointer = Pointer(spark, os.path.join(path, "_last"), "append string, done boolean")
 
     def last(self) -> Step | None:
         """None for a log without a head table: nothing was appended, or not by this version."""
-        for attempt in range(_TRIES):
-            found = read_or_none(self._spark, _LAST, self._last)
-            if found is None:
-                return None
-            try:
-                row = found.agg(F.max(F.struct("seq", "append", "done")).alias("step")).first().step
-            except PySparkException:
-                if attempt + 1 == _TRIES:
-                    raise
-            else:
-                return None if row is None else Step(row.seq, row.append, row.done)
+        row = self._pointer.read()
+        return None if row is None else Step(row.turn, row.append, row.done)
 
     def ends(self, step: Step) -> DataFrame:
         """``topic, partition, next_offset, before``: the ends after the step, and before its append."""
@@ -73,23 +56,12 @@ class Marks:
     def _step(self, seq: int) -> str:
         return os.path.join(self._marks, f"step={seq}")
 
-    def publish(self, ends: DataFrame, append_id: str, done: bool) -> None:
-        """A step after the last one; ``ends`` has one row (topic, partition, next_offset, before) per partition."""
-        last = self.last()
-        seq = 1 if last is None else last.seq + 1
-        ends.select(*_KEYS, "next_offset", "before").coalesce(1).write.mode("overwrite").parquet(self._step(seq))
-        (self._spark.range(1, numPartitions=1)
-         .select(F.lit(seq).cast("bigint").alias("seq"), F.lit(append_id).alias("append"), F.lit(done).alias("done"))
-         .write.mode("overwrite").parquet(os.path.join(self._last, f"slot={seq % _SLOTS}")))
-
-    def extents(self) -> DataFrame | None:
-        return read_or_none(self._spark, _EXTENTS, self._extents)
-
-    def keep_extents(self, extents: DataFrame, append_id: str) -> None:
-        """What one append put where; the same append again replaces it."""
-        (extents.select(*_KEYS, "first_offset", "last_offset", "messages").coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(self._extents, f"append={append_id}")))
-
-    def keep_all_extents(self, extents: DataFrame) -> None:
-        """The extents of a log that had no head table."""
-        extents.select(*_KEYS, "first_offset", "last_offset", "messages", "append").write.mode("append").partitionBy("append").parquet(self._extents)
+    def publish(self, ends: DataFrame, append_id: str, done: bool, last: Step | None = UNREAD) -> Step:
+        """The step after ``last``; ``ends`` has one row (topic, partition, next_offset, before) per partition."""
+        last = self.last() if last is UNREAD else last
+        step = Step(1 if last is None else last.seq + 1, append_id, done)
+        ends.select(*_KEYS, "next_offset", "before").coalesce(1).write.mode("overwrite").parquet(self._step(step.seq))
+        self._pointer.write_turn(step.seq, append=append_id, done=done)
+        if step.seq > KEPT_STEPS:
+            remove(self._spark, [self._step(step.seq - KEPT_STEPS)])
+        return step

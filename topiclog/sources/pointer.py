@@ -45,7 +45,8 @@ class Pointer:
             if found is None:
                 return None
             try:
-                return max(found.collect(), key=lambda row: row.turn, default=None)
+                # Records of another layout have no turn.
+                return max((row for row in found.collect() if row.turn is not None), key=lambda row: row.turn, default=None)
             except PySparkException:
                 if attempt + 1 == _TRIES:
                     raise
@@ -53,7 +54,10 @@ class Pointer:
 
     def write(self, last: Row | None, **values: Any) -> None:
         """Replace ``last``, as it was read, by ``values``."""
-        turn = 1 if last is None else last.turn + 1
+        self.write_turn(1 if last is None else last.turn + 1, **values)
+
+    def write_turn(self, turn: int, **values: Any) -> None:
+        """Store ``values`` under a ``turn`` one higher than the last."""
         record = F.from_json(F.lit(json.dumps(values)), self._schema)
         (self._spark.range(1, numPartitions=1).select(record.alias("record")).select("record.*", F.lit(turn).cast("bigint").alias("turn"))
          .write.mode("overwrite").parquet(os.path.join(self.path, f"slot={turn % _SLOTS}")))
