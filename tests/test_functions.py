@@ -32,17 +32,20 @@ def test_malformed_topics(spark):
     assert values(spark, names.topic_stream(topic), t=("string", topics)) == [None, None, None, None, ""]
 
 
-def test_parsing_that_raises(spark):
+def test_parsing_that_raises(spark, rows):
     from topiclog.errors import TopicNameError
-    topic = F.col("t")
-    assert values(spark, names.parsed_datacenter(topic), t=("string", ["scribe.lhr.a.b"])) == ["lhr"]
-    assert values(spark, names.parsed_stream(topic), t=("string", ["scribe.lhr.a.b"])) == ["a.b"]
+    from topiclog.operators.discovery import parsed_topics
+    topics = lambda *names: spark.createDataFrame([(n,) for n in names], "topic string")
+    assert rows(parsed_topics(topics("scribe.lhr.a.b"))) == [("scribe.lhr.a.b", "lhr", "a.b")]
     assert names.split_topic("scribe.lhr.a.b") == ("lhr", "a.b")
     for wrong in ("scribe.lhr", "other.lhr.a"):
         with pytest.raises(ValueError, match="not a well-formed"):
             names.split_topic(wrong)
-        with pytest.raises(Exception, match="not a well-formed"):
-            values(spark, names.parsed_stream(topic), t=("string", [wrong]))
+    # Also where nobody reads the parts, as in a count.
+    for wrong in ("scribe.lhr", "other.lhr.a", "", None):
+        with pytest.raises(TopicNameError, match="not a well-formed"):
+            parsed_topics(topics("scribe.lhr.a", wrong)).count()
+    assert parsed_topics(topics()).count() == 0
     with pytest.raises(TopicNameError):
         names.split_topic("")
 

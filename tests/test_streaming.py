@@ -10,7 +10,7 @@ from topiclog.functions.measures import SEND_FAILURES, TIMERS
 from topiclog.operators import offsets
 from topiclog.operators.messages import process_messages
 from topiclog.streaming.consume import MessageProcessor, PartitionWatch, close, consume, live_lag, process_each, wait
-from topiclog.streaming.metrics import ClientMetrics, MetricsListener, Reporter, TableReporter
+from topiclog.streaming.metrics import ClientMetrics, MetricsListener, Reporter, TableReporter, observed
 from topiclog.streaming.produce import append_stream
 
 GROUP = "g"
@@ -250,6 +250,47 @@ def test_live_lag_equals_batch_lag(spark, log, ledger, path):
     assert reports[max(reports)] == {(r.topic, r.partition): r.lag for r in offsets.lag(meta).collect()}
 
 
+def test_a_commit_changes_the_live_lag_without_the_ledger_being_read(spark, log, ledger, path, monkeypatch):
+    frame = lambda p, o: spark.createDataFrame([("t", p, o)], "topic string, partition int, offset bigint")
+    history = "group_id string, topic string, partition int, offset bigint, storage string, commit_seq bigint"
+    ledger.load(spark.createDataFrame([(GROUP, "t", 1, 2, "kafka", 5), (GROUP, "t", 2, 1, "zookeeper", 6), ("other", "t", 1, 9, "kafka", 7)], history), "old")
+    ledger.commit(GROUP, frame(0, 3), "kafka")
+    reports = []
+    read = []
+    monkeypatch.setattr(CommitLedger, "commits", lambda self, group_id=None: read.append(group_id))
+    run = lambda: wait(live_lag(log.stream(), ledger, GROUP, lambda df, _: reports.append({(r.topic, r.partition): r.lag for r in df.collect()}), path("cp"), "kafka"), LIMIT_MS)
+    run()
+    high = highmarks(log)
+    expected = {**high, ("t", 0): high["t", 0] - 3, ("t", 1): high["t", 1] - 2}
+    assert reports[-1] == {k: v for k, v in expected.items() if k in reports[-1]} and ("t", 0) in reports[-1]
+    # A rewind and another storage, no message: one more report, after a restart.
+    ledger.commit(GROUP, frame(0, 1), "kafka")
+    ledger.commit(GROUP, frame(0, 4), "zookeeper")
+    ledger.fold(GROUP)
+    before = len(reports)
+    run()
+    assert len(reports) > before and reports[-1]["t", 0] == high["t", 0] - 1
+    assert read == []
+
+
+def test_messages_are_counted_by_the_query_that_reads_them(spark, log, path):
+    memory = Memory()
+    listener = MetricsListener(ClientMetrics(memory, "reader", {}), {"counted"})
+    spark.streams.addListener(listener)
+    try:
+        counted = observed(log.stream(max_files=2), "passed", [("t", 0), ("u", 9)])
+        wait(counted.writeStream.queryName("counted").format("parquet").option("path", path("out")).option("checkpointLocation", path("cp"))
+             .trigger(availableNow=True).start(), LIMIT_MS)
+        total = lambda name: sum(v for (_, n, _), v in list(memory.records) if n == f"reader.{name}")
+        deadline = datetime.datetime.now() + datetime.timedelta(seconds=20)
+        while total("messages") < log.messages().count() and datetime.datetime.now() < deadline:
+            spark.range(1).count()
+    finally:
+        spark.streams.removeListener(listener)
+    assert total("messages") == log.messages().count()
+    assert total("messages.t-0") == log.topic("t", [0]).count() > 0 and total("messages.u-9") == 0
+
+
 def test_appending_a_stream(spark, log, path, rows):
     copy = TopicLog.create(spark, path("copy"), log.catalog())
     source = log.stream(max_files=2).withColumnsRenamed({"partition": "p", "offset": "seq"})
@@ -316,13 +357,18 @@ def test_client_metrics():
 
 def test_listener_times_batches_and_counts_failed_sends(spark, log, ledger, path):
     memory = Memory()
-    listener = MetricsListener(ClientMetrics(memory, "producer", {}), {"sender"})
+    listener = MetricsListener(ClientMetrics(memory, "producer", {}), {"reader"}, {"sender"})
     spark.streams.addListener(listener)
+    source = log.stream().withColumnsRenamed({"partition": "p", "offset": "seq"})
+    copy = TopicLog.create(spark, path("copy"), log.catalog())
+    nothing = TopicLog.create(spark, path("nothing"), log.catalog().where("topic = 'none'"))
     try:
-        wait(consume(log.stream(), Sink(), ledger, GROUP, path("cp1"), "sender"), LIMIT_MS)
+        wait(append_stream(source, copy, ["topic", "p", "seq"], path("cp1"), "sender"), LIMIT_MS)
+        # A reader that fails sends nothing; an append that is refused does not send.
+        with pytest.raises(StreamingQueryException):
+            wait(consume(log.stream(), Sink(fail_at=[0]), ledger, GROUP, path("cp2"), "reader"), LIMIT_MS)
         with pytest.raises(StreamingQueryException):
-            wait(consume(log.stream(), Sink(fail_at=[0]), ledger, GROUP, path("cp2"), "sender"), LIMIT_MS)
-        wait(consume(log.stream(), Sink(), ledger, GROUP, path("cp3"), "other"), LIMIT_MS)
+            wait(append_stream(source, nothing, ["topic", "p", "seq"], path("cp3"), "sender"), LIMIT_MS)
         names = lambda: [handle[1] for handle, _ in list(memory.records)]
         deadline = datetime.datetime.now() + datetime.timedelta(seconds=20)
         while f"producer.{SEND_FAILURES}" not in names() and datetime.datetime.now() < deadline:

@@ -36,21 +36,6 @@ def topic_stream(topic: Column) -> Column:
     return F.when(is_well_formed(topic), _tokens(topic)[2])
 
 
-def _parsed(topic: Column, part: Column) -> Column:
-    wrong = F.concat(F.lit("not a well-formed topic name: "), F.coalesce(topic, F.lit("NULL")))
-    return F.when(F.coalesce(is_well_formed(topic), F.lit(False)), part).otherwise(F.raise_error(wrong))
-
-
-def parsed_datacenter(topic: Column) -> Column:
-    """:func:`topic_datacenter`, but a malformed or missing name fails the job."""
-    return _parsed(topic, _tokens(topic)[1])
-
-
-def parsed_stream(topic: Column) -> Column:
-    """:func:`topic_stream`, but a malformed or missing name fails the job."""
-    return _parsed(topic, _tokens(topic)[2])
-
-
 def split_topic(topic: str) -> tuple[str, str]:
     """(datacenter, stream) of one name; raises for a malformed one."""
     tokens = topic.split(".", 2)

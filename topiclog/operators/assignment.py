@@ -40,18 +40,29 @@ def missing_topics(subscriptions: DataFrame, catalog: DataFrame) -> DataFrame:
 def assign(units: DataFrame, members: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """``group_id, member_id, topic, partition``: units dealt in turn to the sorted members of their group.
 
-    Each unit goes to exactly one member; a group without members has no rows, and members left over have none.
+    Each unit goes to exactly one member; a group without members has no rows, and members left over have none. The units of a seat are
+    cut into blocks of ``rows_per_piece``, and the seat is there once for each of its blocks: one member with all units of a
+    large group is met in as many tasks as it has blocks.
     """
     # Both sides are read several times for their numbers.
     members = pinned(members.select("group_id", "member_id").distinct())
-    named = pinned(units.select("group_id", "topic", "partition", unit_name(F.col("topic"), F.col("partition")).alias("_unit")))
+    named = units.select("group_id", "topic", "partition", unit_name(F.col("topic"), F.col("partition")).alias("_unit"))
     dealt = dense_index(named, ["_unit"], ["group_id"], "_turn", rows_per_piece)
     seated = dense_index(members, ["member_id"], ["group_id"], "_seat", rows_per_piece)
-    sizes = broadcast_if_small(pinned(
-        members.groupBy("group_id").agg(F.count("member_id").alias("_members"))))
+    seats = members.groupBy("group_id").agg(F.count("*").alias("_members"))
+    turns = dealt.groupBy("group_id").agg(F.count("*").alias("_units"))
+    sizes = broadcast_if_small(pinned(seats.join(turns, "group_id")))
+    size = int(rows_per_piece)
+    # Seat s has every m-th of n units, from the s-th on.
+    own = F.expr("(_units - _seat + _members - 1) div _members")
+    blocks = F.expr(f"(_own + {size - 1}) div {size}")
+    placed = (
+        seated.join(sizes, "group_id").withColumn("_own", own).where("_own > 0")
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))))
     return (
         dealt.join(sizes, "group_id").withColumn("_seat", F.pmod("_turn", "_members"))
-        .join(seated, ["group_id", "_seat"])
+        .withColumn("_block", F.expr(f"_turn div _members div {size}"))
+        .join(placed.select("group_id", "_seat", "_block", "member_id"), ["group_id", "_seat", "_block"])
         .select("group_id", "member_id", "topic", "partition")
     )
 

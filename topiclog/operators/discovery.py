@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topiclog.errors import DiscoveryError
+from topiclog.errors import DiscoveryError, TopicNameError
 from topiclog.functions.clusters import cluster_identity, split_hosts
+from topiclog.functions.names import is_well_formed, topic_datacenter, topic_stream
 from topiclog.functions.patterns import contains_matching, ends_with_stream, starts_matching
 from topiclog.session import pinned
 
@@ -26,6 +27,17 @@ def discover_partitions(messages: DataFrame, cluster_columns: Sequence[str] = ()
     return messages.select(*cluster_columns, "topic", "partition").distinct()
 
 
+def parsed_topics(rows: DataFrame, topic: str = "topic", datacenter: str = "datacenter", stream: str = "stream") -> DataFrame:
+    """``rows`` with the datacenter and stream of their topic names; malformed or missing names raise before anything is returned.
+
+    The check is a job of its own that stops at the first few: an error inside a column is lost where the column is not read.
+    """
+    wrong = [r[0] for r in rows.where(~F.coalesce(is_well_formed(F.col(topic)), F.lit(False))).select(topic).limit(3).collect()]
+    if wrong:
+        raise TopicNameError(f"not a well-formed topic name: {', '.join(map(repr, wrong))}")
+    return rows.withColumns({datacenter: topic_datacenter(F.col(topic)), stream: topic_stream(F.col(topic))})
+
+
 def partition_lists(catalog: DataFrame) -> DataFrame:
     """Topic to sorted list of its partitions."""
     return (

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from topiclog.session import broadcast_if_small, new_dir, pinned
 
 ROWS_PER_PIECE = 250_000
+_LEAST_ROWS = 10_000
 # ``monotonically_increasing_id`` has the task in the upper bits and the row within it in the lower 33.
 _ROW_BITS = 33
 
@@ -46,8 +47,10 @@ def store_in_order(
     """Write ``rows`` to ``path`` in parts that follow each other in the order of ``within`` and ``order_by``, with their places."""
     total = rows.count() if total is None else total
     keys = [*within, *order_by]
+    # Few rows are shared among the cores that are there, too, as long as a part is worth a task.
+    spread = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(total / _LEAST_ROWS))
     (
-        rows.repartitionByRange(max(1, math.ceil(total / rows_per_piece)), *keys).sortWithinPartitions(*keys)
+        rows.repartitionByRange(max(1, spread, math.ceil(total / rows_per_piece)), *keys).sortWithinPartitions(*keys)
         # Numbers the sorted rows of a task as they are written.
         .withColumn("_place", F.monotonically_increasing_id())
         .write.mode("overwrite").parquet(path)

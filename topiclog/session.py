@@ -51,6 +51,12 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Make a folder, and those above it, where there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from topiclog import schemas
 from topiclog.functions.positions import write_storages
 from topiclog.operators import offsets
-from topiclog.session import remove
+from topiclog.session import make_dir, remove
 from topiclog.sources.log import footer_scan
 from topiclog.sources.pointer import Pointer, read_or_none
 
@@ -123,6 +123,21 @@ class CommitLedger:
         found = loaded.select(*_COLUMNS)
         return found if parts is None else found.unionByName(parts.join(counting, ["group_id", "part"], "left_semi").select(*_COLUMNS))
 
+    def stream(self, group_id: str) -> DataFrame:
+        """The group's commits as a stream, those that are there first; loaded ones are those of loads made before it starts.
+
+        A merged commit may come again with its snapshot, and one that was begun and never named may come too: of a key the
+        row with the highest ``commit_seq``, and of these the last ``committed_at``, counts.
+        """
+        parts = os.path.join(self._folder(group_id), "parts")
+        make_dir(self.spark, parts)
+        options = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true"}
+        found = self.spark.readStream.schema(_STORED).options(**options).parquet(parts).select(*_COLUMNS)
+        loads = [os.path.join(self.path, f"entry={e.entry}") for e in self._loads().loads]
+        for path in loads:
+            found = found.unionByName(self.spark.readStream.schema(_STORED).options(**options).parquet(path).where(F.col("group_id") == group_id).select(*_COLUMNS))
+        return found
+
     # -- writing ---------------------------------------------------------------------------------
 
     def load(self, rows: DataFrame, entry: str) -> None:

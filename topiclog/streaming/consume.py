@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topiclog.errors import ProcessingError
+from topiclog.functions.positions import known_or_zero, read_storage
 from topiclog.operators.assignment import changes
-from topiclog.operators.offsets import lag, offsets_metadata, processed, watermarks
+from topiclog.operators.offsets import lag, processed, stored_storage
 from topiclog.sources.ledger import CommitLedger
 
 _log = logging.getLogger(__name__)
@@ -239,18 +240,30 @@ def live_lag(
 ) -> StreamingQuery:
     """Report ``topic, partition, lag`` of a group after each micro-batch.
 
-    The state is one row per topic-partition, whatever the number of messages. ``heads`` (``topic, partition,
-    next_offset``) adds the partitions that have had no message yet.
+    Messages and the group's commits are two streams, and the state is one row per topic-partition: its marks and the last committed
+    offset. So a commit changes the lag as a message does, and a micro-batch reads what is new, not the ledger. ``heads`` (``topic,
+    partition, next_offset``) adds the partitions that have had no message yet.
     """
-    def run(marks: DataFrame, batch_id: int) -> None:
-        commits = ledger.within(marks.sparkSession).commits(group_id)
+    seen = messages.select(
+        *_KEYS, F.col("offset").alias("_low"), (F.col("offset") + 1).alias("_high"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (("committed", "bigint"), ("_seq", "bigint"), ("_at", "timestamp"))])
+    commits = (
+        ledger.stream(group_id).where(stored_storage() == read_storage(storage))
+        .select(*_KEYS, F.lit(None).cast("bigint").alias("_low"), F.lit(None).cast("bigint").alias("_high"),
+                F.col("offset").alias("committed"), F.col("commit_seq").alias("_seq"), F.col("committed_at").alias("_at")))
+    state = seen.unionByName(commits).groupBy(*_KEYS).agg(
+        F.min("_low").alias("lowmark"), F.max("_high").alias("highmark"),
+        F.max_by("committed", F.when(F.col("_seq").isNotNull(), F.struct("_seq", "_at"))).alias("committed"))
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        known = rows
         if heads is not None:
-            marks = heads.join(marks, _KEYS, "left").select(
-                *_KEYS, *[F.coalesce(mark, "next_offset").alias(mark) for mark in ("lowmark", "highmark")])
-        report(lag(offsets_metadata(marks.select(*_KEYS), commits, marks, group_id, storage)), batch_id)
+            known = heads.join(rows, _KEYS, "left").select(*_KEYS, F.coalesce("highmark", "next_offset").alias("highmark"), "committed")
+        found = known.where(F.col("highmark").isNotNull()).select(*_KEYS, "highmark", known_or_zero(F.col("committed")).alias("current"))
+        report(lag(found), batch_id)
 
     return (
-        watermarks(messages).writeStream.outputMode("complete").foreachBatch(run)
+        state.writeStream.outputMode("complete").foreachBatch(run)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 

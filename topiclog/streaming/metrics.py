@@ -6,10 +6,11 @@ import contextlib
 import datetime
 import threading
 from abc import ABC, abstractmethod
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from topiclog import schemas
@@ -72,6 +73,7 @@ class ClientMetrics:
         self._reporter = reporter
         self._prefix, self._dimensions = prefix, dimensions
         self._phases: dict[str, Any] = {}
+        self._counts: dict[str, Any] = {}
         self._timers = {n: reporter.timer(f"{prefix}.{n}", dimensions) for n in TIMERS}
         self._counters = {n: reporter.counter(f"{prefix}.{n}", dimensions) for n in [*FAILURE_COUNTERS, SEND_FAILURES]}
 
@@ -85,6 +87,11 @@ class ClientMetrics:
             return False
         return True
 
+    def count(self, name: str, value: float) -> None:
+        """Report how many there were of something, under its own name."""
+        if name not in self._counts:
+            self._counts[name] = self._reporter.counter(f"{self._prefix}.{name}", self._dimensions)
+        self._reporter.record(self._counts[name], value)
 
     def phase(self, name: str, milliseconds: float) -> None:
         """Report how long a phase of a micro-batch took, under Spark's own name for it."""
@@ -103,28 +110,45 @@ class ClientMetrics:
 
 
 class MetricsListener(StreamingQueryListener):
-    """Reports the phases of micro-batches as timers, and queries that failed as failed sends.
+    """Reports the phases of micro-batches as timers, observed counts as counters, and appending queries that failed as failed sends.
 
-    Register it with ``spark.streams.addListener``; it only reports queries whose name is in ``queries``.
+    Register it with ``spark.streams.addListener``; it only reports queries whose name is in ``queries`` or ``senders``, and counts as sends
+    only those in ``senders``. Counts come with the run itself (:func:`observed`), no second job makes them.
     """
 
-    def __init__(self, metrics: ClientMetrics, queries: set[str]):
+    def __init__(self, metrics: ClientMetrics, queries: set[str] = frozenset(), senders: set[str] = frozenset()):
         self._metrics = metrics
-        self._names = queries
+        self._names, self._senders = set(queries) | set(senders), set(senders)
         self._ids: set[str] = set()
+        self._sending: set[str] = set()
 
     def onQueryStarted(self, event):
         if event.name in self._names:
             self._ids.add(str(event.id))
+        if event.name in self._senders:
+            self._sending.add(str(event.id))
 
     def onQueryProgress(self, event):
         if str(event.progress.id) in self._ids:
             for phase, milliseconds in event.progress.durationMs.items():
                 self._metrics.phase(phase, milliseconds)
+            for row in event.progress.observedMetrics.values():
+                for name, count in row.asDict().items():
+                    self._metrics.count(name, count)
 
     def onQueryTerminated(self, event):
-        if str(event.id) in self._ids and event.exception is not None:
+        if str(event.id) in self._sending and event.exception is not None:
             self._metrics.sample(SEND_FAILURES, 1)
 
     def onQueryIdle(self, event):
         pass
+
+
+def observed(messages: DataFrame, name: str, partitions: Iterable[tuple[str, int]] = ()) -> DataFrame:
+    """``messages``, of which a query reports how many passed in each micro-batch: in all as ``messages``, and of each of the given (topic,
+    partition) as ``messages.<topic>-<partition>``. The counts are made in the tasks that process the messages, each time they do: a
+    ``foreachBatch`` function that reads its batch twice, without persisting it, counts twice."""
+    counts = [
+        F.count_if((F.col("topic") == topic) & (F.col("partition") == partition)).alias(f"messages.{topic}-{partition}")
+        for topic, partition in partitions]
+    return messages.observe(name, F.count(F.lit(1)).alias("messages"), *counts)
