@@ -43,24 +43,30 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path in it): the one that Spark itself would use for ``path``."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(context._jsc.hadoopConfiguration()), found
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Delete folders in whatever file system Spark writes them to; those that are not there are passed over."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    """Delete folders; those that are not there are passed over."""
     for path in paths:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        fs, folder = file_system(spark, path)
+        fs.delete(folder, True)
 
 
 def make_dir(spark: SparkSession, path: str) -> None:
     """Make a folder, and those above it, where there is none."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    fs, folder = file_system(spark, path)
+    fs.mkdirs(folder)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there."""
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+    fs, found = file_system(spark, path)
+    return fs.exists(found)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

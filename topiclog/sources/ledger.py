@@ -20,18 +20,17 @@ from pyspark.sql import functions as F
 from topiclog import schemas
 from topiclog.functions.positions import write_storages
 from topiclog.operators import offsets
-from topiclog.session import make_dir, remove
+from topiclog.session import exists, make_dir, remove
 from topiclog.sources.log import footer_scan
 from topiclog.sources.pointer import Pointer, read_or_none
 
 _COLUMNS = [f.name for f in schemas.COMMITS if f.name != "entry"]
 # A part, that is a commit or a snapshot; its rows carry its number.
 _STORED = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.COMMITS if f.name != "entry") + ", part bigint"
-_LOADS = "top bigint, loads array<struct<entry: string, number: bigint>>"
-# The snapshot, 0 for none, and the highest sequence number below which all is in it; the commits behind it.
+# The record of a group: the snapshot, 0 for none, and the highest sequence number below which all is in it; the commits behind it.
 _GROUP = (
     "group_id string, snapshot bigint, top bigint, pending array<struct<entry: string, seq: bigint, part: bigint>>, "
-    "retired array<struct<part: bigint, at: bigint>>, loads array<bigint>")
+    "retired array<struct<part: bigint, at: bigint>>, loads array<bigint>, turn bigint")
 # Commits behind a snapshot before they are merged into the next one.
 FOLD = 16
 
@@ -57,13 +56,13 @@ class CommitLedger:
 
     @property
     def _loads_pointer(self) -> Pointer:
-        return Pointer(self.spark, os.path.join(self.path, "_loads"), _LOADS)
+        return Pointer(self.spark, os.path.join(self.path, "_loads"))
 
     def _folder(self, group_id: str) -> str:
         return os.path.join(self.path, "_groups", "g" + urllib.parse.quote(group_id, safe="").replace(".", "%2E"))
 
     def _pointer(self, group_id: str) -> Pointer:
-        return Pointer(self.spark, os.path.join(self._folder(group_id), "pointer"), _GROUP)
+        return Pointer(self.spark, os.path.join(self._folder(group_id), "pointer"))
 
     def _part(self, group_id: str, part: int) -> str:
         return os.path.join(self._folder(group_id), "parts", f"part={part}")
@@ -110,9 +109,9 @@ class CommitLedger:
             # Entries that the pointer does not name were begun and not finished.
             loaded = self.spark.read.schema(schemas.COMMITS).parquet(self.path).where(F.col("entry").isin(names))
         folder = os.path.join(self.path, "_groups", "*")
-        pointers = read_or_none(self.spark, self._pointer("").stored_schema, os.path.join(folder, "pointer"), deep=True)
-        if pointers is None:
+        if not exists(self.spark, os.path.join(self.path, "_groups")):
             return loaded.select(*_COLUMNS)
+        pointers = self.spark.read.schema(_GROUP).option("recursiveFileLookup", "true").json(os.path.join(folder, "pointer"))
         states = pointers.groupBy("group_id").agg(F.max_by(F.struct("snapshot", "pending", "loads"), "turn").alias("state"))
         counting = states.select("group_id", F.explode(F.array_append(F.col("state.pending.part"), F.col("state.snapshot"))).alias("part"))
         parts = read_or_none(self.spark, _STORED, os.path.join(folder, "parts"), deep=True)

@@ -23,8 +23,6 @@ _KEYS = ["topic", "partition"]
 _EXTENTS = "topic string, partition int, first_offset bigint, last_offset bigint, messages bigint"
 # A generation has no append, an append no generation.
 _BASE = f"{_EXTENTS}, append string, generation bigint"
-_POINTER = (
-    "base bigint, pending array<string>, generations array<bigint>, replaced array<string>, retired array<struct<path: string, at: bigint>>")
 COLUMNS = ["append", "generation", *_KEYS, "first_offset", "last_offset", "messages"]
 # Appends whose extents are read one by one before they are merged into the base.
 FOLD = 32
@@ -41,7 +39,7 @@ class Manifest:
 
     @property
     def _pointer(self) -> Pointer:
-        return Pointer(self._spark, os.path.join(self._folder, "pointer"), _POINTER)
+        return Pointer(self._spark, os.path.join(self._folder, "pointer"))
 
     def _base(self, number: int) -> str:
         return os.path.join(self._folder, f"base={number}")

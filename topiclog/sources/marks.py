@@ -2,7 +2,7 @@
 
 An append publishes that it begins, writes its messages, and then publishes that it is done. ``_marks/step=<n>`` holds the next
 offset of every partition after such a step and is never written again, so a DataFrame of marks stays readable; ``_last`` names
-the last step, a few one-row files in turn. So the ends of a log are read from a few small files however many appends it
+the last step. So the ends of a log are read from a few small files however many appends it
 has, and an append that was begun but never finished is noticed. Steps long past are removed.
 """
 
@@ -42,7 +42,7 @@ class Marks:
         self._spark = spark
         # Names starting with an underscore are no data to Spark's file listing.
         self._marks = os.path.join(path, "_marks")
-        self._pointer = Pointer(spark, os.path.join(path, "_last"), "append string, done boolean")
+        self._pointer = Pointer(spark, os.path.join(path, "_last"))
 
     def last(self) -> Step | None:
         """None for a log without a head table: nothing was appended, or not by this version."""

@@ -1,7 +1,8 @@
 """A small record in a shared folder that is replaced as a whole: which files of a table count now.
 
-Readers find the last record that was written completely. Files that a record names are written before it and never changed, so a reader
-sees the state before a change or the state after it. One writer per pointer is assumed.
+Files that a record names are written before it and never changed, so a reader sees the state before a change or the state after it. A
+record is one line of JSON, written beside the others and then renamed, in whatever file system Spark uses; no job is needed to
+read or write it. One writer per pointer is assumed.
 """
 
 from __future__ import annotations
@@ -10,12 +11,15 @@ import json
 import os
 from typing import Any
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
-_SLOTS = 4
-# A reader may list a slot that is just being replaced; it looks again.
+from topiclog.session import file_system
+
+# Records kept: a reader may have listed one that is no longer the last.
+_KEPT = 4
+# A reader whose records were removed since it listed them looks again.
 _TRIES = 5
 
 
@@ -29,25 +33,39 @@ def read_or_none(spark: SparkSession, schema: str, *paths: str, deep: bool = Fal
         return None
 
 
+def _as_row(value: Any) -> Any:
+    if isinstance(value, dict):
+        return Row(**{name: _as_row(v) for name, v in value.items()})
+    return [_as_row(v) for v in value] if isinstance(value, list) else value
+
+
 class Pointer:
-    """The record below ``path``: a few one-row files, written in turn, of which the one with the highest ``turn`` counts."""
+    """The record below ``path``: files ``turn-<n>.json``, of which the one with the highest number counts."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
+    def __init__(self, spark: SparkSession, path: str):
         self._spark = spark
         self.path = path
-        self._schema = schema
-        self.stored_schema = f"{schema}, turn bigint, slot int"
+
+    def _file(self, turn: int) -> str:
+        return os.path.join(self.path, f"turn-{turn:012d}.json")
 
     def read(self) -> Row | None:
         """The last record, with its ``turn``; None before the first."""
         for attempt in range(_TRIES):
-            found = read_or_none(self._spark, self.stored_schema, self.path)
-            if found is None:
+            fs, folder = file_system(self._spark, self.path)
+            if not fs.exists(folder):
+                return None
+            files = [status.getPath() for status in fs.listStatus(folder)]
+            last = max((f for f in files if f.getName().startswith("turn-")), key=lambda f: f.getName(), default=None)
+            if last is None:
                 return None
             try:
-                # Records of another layout have no turn.
-                return max((row for row in found.collect() if row.turn is not None), key=lambda row: row.turn, default=None)
-            except PySparkException:
+                stream = fs.open(last)
+                try:
+                    return _as_row(json.loads(bytes(stream.readAllBytes())))
+                finally:
+                    stream.close()
+            except Py4JJavaError:
                 if attempt + 1 == _TRIES:
                     raise
         return None
@@ -58,6 +76,13 @@ class Pointer:
 
     def write_turn(self, turn: int, **values: Any) -> None:
         """Store ``values`` under a ``turn`` one higher than the last."""
-        record = F.from_json(F.lit(json.dumps(values)), self._schema)
-        (self._spark.range(1, numPartitions=1).select(record.alias("record")).select("record.*", F.lit(turn).cast("bigint").alias("turn"))
-         .write.mode("overwrite").parquet(os.path.join(self.path, f"slot={turn % _SLOTS}")))
+        fs, new = file_system(self._spark, os.path.join(self.path, f".turn-{turn}"))
+        stream = fs.create(new, True)
+        stream.write(bytearray(json.dumps({**values, "turn": turn}).encode() + b"\n"))
+        stream.close()
+        _, place = file_system(self._spark, self._file(turn))
+        # What a writer left behind that stopped before its caller knew.
+        fs.delete(place, False)
+        if not fs.rename(new, place):
+            raise OSError(f"cannot write {place.toString()}")
+        fs.delete(file_system(self._spark, self._file(turn - _KEPT))[1], False)
