@@ -295,7 +295,7 @@ def test_reading_and_committing_does_not_grow_with_the_commits(spark, path, monk
         if i % 4 == 1:
             read.append(len(ledger.commits("g").inputFiles()))
             kept.append(len(files_below(path("long"))))
-    # A snapshot and the commits behind it; on disk those that counted until the last switch as well, and the slots of two pointers.
+    # A snapshot and the commits behind it; on disk those that counted until the last switch as well, and the records of two pointers.
     assert read == [2] + [3] * 10
     assert max(kept) <= 1 + 2 + 5 + 4 + 1 and kept[-1] == kept[3]
     expected = {("t", p): max(i for i in range(42) if i % 5 == p) for p in range(5)} | {("t", 7): 82}
@@ -357,3 +357,52 @@ def test_a_commit_begun_and_not_finished_does_not_count(spark, path, rows):
         assert [r.offset for r in offsets.current_commits(found).collect()] == [1]
     ledger.commit("g", offsets_frame(spark, {"t": {0: 3}}), "kafka")
     assert [r.offset for r in offsets.current_commits(ledger.commits()).collect()] == [3]
+
+
+# State carried through a partition in ranges
+
+@pytest.mark.parametrize("rows_per_range", [150, 1_000_000])
+def test_a_carried_state_gives_what_whole_partitions_give(spark, rows_per_range):
+    """A hot partition of 3,000 of 4,000 messages; sessions that a gap of more than 5 offsets ends, with their number and size so far."""
+    n = F.col("id")
+    read = spark.range(0, 4_000, numPartitions=5).select(
+        F.when(n % 4 > 0, "hot").otherwise(F.concat(F.lit("t"), (n % 3).cast("string"))).alias("topic"), F.lit(0).alias("partition"),
+        (n + F.expr("id div 97") * 9).alias("offset"))
+
+    def left_behind(batch):
+        gaps = batch["offset"].diff() > 5
+        last = int((~gaps[::-1].cummax()).sum()) + (1 if gaps.any() else 0)
+        return int(batch["offset"].iloc[0]), int(batch["offset"].iloc[-1]), int(gaps.sum()), last
+
+    def merge(a, b):
+        opens = b[0] - a[1] > 5
+        whole = b[2] == 0 and not opens
+        return a[0], b[1], a[2] + b[2] + opens, a[3] + b[3] if whole else b[3]
+
+    def sessions(batch, state):
+        out = batch[["topic", "offset"]].copy()
+        first, end, number, size = state or (None, None, 0, 0)
+        numbers, sizes = [], []
+        for offset in batch["offset"]:
+            if end is not None and offset - end > 5:
+                number, size = number + 1, 0
+            end, size = offset, size + 1
+            numbers.append(number)
+            sizes.append(size)
+        return out.assign(session=numbers, size=sizes, rows=len(batch))
+
+    found = messages.process_in_order(
+        read, left_behind, merge, sessions, "first bigint, last bigint, gaps bigint, size bigint",
+        "topic string, offset bigint, session bigint, size bigint, rows bigint", rows_per_range).toPandas()
+    whole = [sessions(part.sort_values("offset"), None) for _, part in read.toPandas().groupby("topic")]
+    expected = {(r.topic, r.offset): (r.session, r.size) for part in whole for r in part.itertuples()}
+    assert len(found) == 4_000 and {(r.topic, r.offset): (r.session, r.size) for r in found.itertuples()} == expected
+    if rows_per_range == 150:
+        # No task held much more than a range.
+        assert found["rows"].max() <= 2 * 150 and (found["rows"][found["topic"] == "hot"]).max() > 50
+
+
+def test_a_carried_state_without_messages(spark):
+    none = spark.createDataFrame([], "topic string, partition int, offset bigint")
+    found = messages.process_in_order(none, lambda b: (1,), lambda a, b: a, lambda b, s: b, "n bigint", "topic string, partition int, offset bigint")
+    assert found.count() == 0

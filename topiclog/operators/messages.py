@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclog.errors import ProcessingError
+from topiclog.operators.numbering import ROWS_PER_PIECE, part_of, store_in_order
+from topiclog.session import new_dir
 
 KEYS = ["topic", "partition"]
 # Offsets per stretch when a partition's offsets are compared with their neighbours.
@@ -112,3 +114,52 @@ def process_messages(
                 raise ProcessingError(f"processing failed {failing(batch)}: {cause!r}") from cause
 
     return in_offset_order(messages, whole_partitions).mapInPandas(run, schema)
+
+
+def process_in_order(
+    messages: DataFrame,
+    summarise: Callable[[pd.DataFrame], tuple],
+    merge: Callable[[tuple, tuple], tuple],
+    process: Callable[[pd.DataFrame, tuple | None], pd.DataFrame],
+    state_schema: str,
+    schema: str,
+    rows_per_range: int = ROWS_PER_PIECE,
+) -> DataFrame:
+    """Results of user code that carries a state from message to message of a partition, without a partition being one task.
+
+    The log is cut into ranges of (topic, partition, offset) of about ``rows_per_range`` messages, in which offsets ascend. ``summarise`` gives the state
+    that the messages of a range leave behind, as a tuple of ``state_schema``; ``merge(earlier, later)`` joins the states of neighbouring ranges
+    and must be associative; ``process(batch, state)`` makes the results of a range, given the state before it, None at the start of a
+    partition. If summarising two ranges and merging gives what summarising both at once does, the results are those of whole
+    partitions in order. The states of a partition, one per range, are merged in one task; the messages never are.
+    """
+    spark = messages.sparkSession
+    path = new_dir(spark, "ranges")
+    store_in_order(messages, ["offset"], KEYS, path, rows_per_range)
+    # An offset that came twice may lie at the end of one part and the start of the next; parts keep their order all the same.
+    ranges = spark.read.schema(messages.withColumn("_place", F.lit(0).cast("bigint")).schema).parquet(path).withColumn("_part", part_of("_place"))
+    fields = [f.name for f in spark.createDataFrame([], state_schema).schema]
+    keys = "topic string, partition int, _part bigint"
+
+    def ordered(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.sort_values("_place", kind="stable").drop(columns=["_place", "_part"])
+
+    def summary(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(rows["topic"].iloc[0], rows["partition"].iloc[0], rows["_part"].iloc[0], *summarise(ordered(rows)))],
+                            columns=[*KEYS, "_part", *fields])
+
+    def before(states: pd.DataFrame) -> pd.DataFrame:
+        states = states.sort_values("_part")
+        found, so_far = [], None
+        for row in states.itertuples(index=False, name=None):
+            found.append((*row[:3], so_far is not None, *(so_far if so_far is not None else row[3:])))
+            so_far = row[3:] if so_far is None else merge(so_far, row[3:])
+        return pd.DataFrame(found, columns=[*KEYS, "_part", "_known", *fields])
+
+    def results(key: tuple, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        known = states.iloc[0]["_known"]
+        return process(ordered(rows), tuple(states.iloc[0][f] for f in fields) if known else None)
+
+    states = ranges.groupBy(*KEYS, "_part").applyInPandas(summary, f"{keys}, {state_schema}")
+    entering = states.groupBy(*KEYS).applyInPandas(before, f"{keys}, _known boolean, {state_schema}")
+    return ranges.groupBy(*KEYS, "_part").cogroup(entering.groupBy(*KEYS, "_part")).applyInPandas(results, schema)

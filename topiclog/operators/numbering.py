@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclog.session import broadcast_if_small, new_dir, pinned
@@ -57,13 +57,18 @@ def store_in_order(
     )
 
 
+def part_of(place: str) -> Column:
+    """The number of the part that a stored place is in."""
+    return F.shiftright(place, _ROW_BITS)
+
+
 def indexed(rows: DataFrame, within: Sequence[str], into: str, path: str) -> DataFrame:
     """The rows that :func:`store_in_order` wrote to ``path``, with their numbers; ``rows`` tells their columns."""
     within = list(within)
     spark = rows.sparkSession
     stored = (
         spark.read.schema(rows.withColumn("_place", F.lit(0).cast("bigint")).schema).parquet(path)
-        .withColumn("_part", F.shiftright("_place", _ROW_BITS)))
+        .withColumn("_part", part_of("_place")))
     # One row per group and part: at most as many as parts and groups together.
     counts = stored.groupBy(*within, "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

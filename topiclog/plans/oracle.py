@@ -175,6 +175,9 @@ _BODIES = {
         ts AS sent_at FROM v_shipment_log""",
     "ordered_process": """SELECT topic, "partition", "offset", CAST(length("value") AS BIGINT) AS size, true AS ascending
         FROM v_shipment_log""",
+    "running_totals": """SELECT topic, "partition", "offset", CAST(sum(length("value")) OVER w AS BIGINT) AS sent,
+        CAST(lag(length("value")) OVER w AS BIGINT) AS previous FROM v_shipment_log
+        WINDOW w AS (PARTITION BY topic, "partition" ORDER BY "offset")""",
     "delivery_audit": _AUDIT.format("v_event_log"),
     "delivery_audit_shipments": _AUDIT.format("v_shipment_log"),
     "offset_gaps": f"""SELECT topic, "partition", previous, "offset", "offset" - previous AS step, count(*) AS times FROM (
@@ -184,6 +187,8 @@ _BODIES = {
     "assign_offsets": """SELECT topic, "partition", "offset" - base AS "offset", "key", "value" FROM v_shipment_log""",
     "append_keyed": f"SELECT {_MESSAGE} FROM v_event_log",
     "append_mixed_keys": f"SELECT {_MESSAGE} FROM v_mixed_log",
+    "compact_appends": f"""SELECT {_MESSAGE} FROM v_event_log JOIN (SELECT topic AS t, "partition" AS p, lowmark FROM v_event_marks) ON t = topic AND p = "partition"
+        WHERE "offset" >= lowmark + 50""",
     "append_unkeyed": """SELECT topic, "partition", turn // 4 + 100 * ("partition" + 1) AS "offset", CAST(NULL AS VARCHAR) AS "key", "value"
         FROM (SELECT topic, CAST(turn % 4 AS INTEGER) AS "partition", turn, "value" FROM (
         SELECT *, row_number() OVER (PARTITION BY topic ORDER BY event_id) - 1 AS turn FROM v_events))""",
@@ -200,6 +205,10 @@ _BODIES = {
         LEFT JOIN ({_RESPONSES}) r ON r.topic = p.topic AND r."partition" = p."partition"
         WHERE r.topic IS NULL OR (r.kind = 'high' AND r.error <> 0)""",
     "current_commits": "SELECT * FROM v_event_last",
+    "folded_commits": """SELECT group_id, storage, topic, "partition", "offset" FROM v_event_last
+        WHERE NOT (storage = 'kafka' AND (group_id = 'g2' AND "partition" = 3 OR group_id = 'g1' AND "partition" = 2))
+        UNION ALL SELECT 'g2', 'kafka', topic, "partition", highmark FROM v_event_marks WHERE "partition" = 3
+        UNION ALL SELECT 'g1', 'kafka', topic, "partition", lowmark FROM v_event_marks WHERE "partition" = 2""",
     "committed_offsets": """SELECT m.topic, m."partition", m."current" FROM v_event_meta m
         JOIN v_valid v ON v.topic = m.topic AND v."partition" = m."partition" """,
     "offsets_metadata": """SELECT topic, "partition", "current", highmark, lowmark FROM v_event_meta_kafka""",

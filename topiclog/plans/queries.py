@@ -142,6 +142,26 @@ def ordered_process(spark, sf_dir):
         "topic string, partition int, offset bigint, size bigint, ascending boolean")
 
 
+@query
+def running_totals(spark, sf_dir):
+    """Bytes sent to a partition so far and the size of the message before, carried from message to message."""
+    def left_behind(batch: pd.DataFrame) -> tuple:
+        sizes = batch["value"].map(len)
+        return int(sizes.sum()), int(sizes.iloc[-1])
+
+    def totals(batch: pd.DataFrame, state: tuple | None) -> pd.DataFrame:
+        sizes = batch["value"].map(len).astype("int64")
+        sent, last = state or (0, None)
+        out = batch[["topic", "partition", "offset"]].copy()
+        out["sent"] = sizes.cumsum() + sent
+        out["previous"] = sizes.astype("Int64").shift(1, fill_value=pd.NA if last is None else int(last))
+        return out
+
+    return messages.process_in_order(
+        views.shipment_log(spark, sf_dir).messages(), left_behind, lambda a, b: (a[0] + b[0], b[1]), totals,
+        "sent bigint, last bigint", "topic string, partition int, offset bigint, sent bigint, previous bigint")
+
+
 @query
 def delivery_audit(spark, sf_dir):
     return messages.delivery_audit(views.event_log(spark, sf_dir).messages())
@@ -191,6 +211,19 @@ def append_mixed_keys(spark, sf_dir):
     return _readable(log.messages())
 
 
+@query
+def compact_appends(spark, sf_dir):
+    """A log of four appends, merged into one generation, whose files then go; read from positions."""
+    log = views.new_event_log(spark, sf_dir, new_dir(spark, "compact"))
+    rows = views.event_rows(spark, sf_dir)
+    week = F.datediff("timestamp", F.lit("2024-01-01")) / 8
+    for i in range(4):
+        log.append_keyed(rows.where((week >= i) & (week < i + 1) if 0 < i < 3 else week < 1 if i == 0 else week >= 3), ["event_id"], f"week{i}")
+    log.compact()
+    log.vacuum()
+    return _readable(log.after(log.watermarks().select(*KEYS, (F.col("lowmark") + 50).alias("start"))))
+
+
 @query
 def append_unkeyed(spark, sf_dir):
     log = views.new_event_log(spark, sf_dir, new_dir(spark, "append-unkeyed"))
@@ -247,6 +280,19 @@ def current_commits(spark, sf_dir):
     return offsets.current_commits(views.event_ledger(spark, sf_dir).commits())
 
 
+@query
+def folded_commits(spark, sf_dir):
+    """A history of commits taken into snapshots, group by group, and two more commits behind them."""
+    log, ledger = views.event_log(spark, sf_dir), CommitLedger.create(spark, new_dir(spark, "ledger"))
+    ledger.load(views.event_ledger(spark, sf_dir).commits(), "history")
+    ledger.fold(views.GROUP)
+    marks = log.watermarks()
+    ledger.advance("g2", log.catalog().where("partition = 3"), marks, positions.KAFKA)
+    ledger.fold("g2")
+    ledger.rewind(views.GROUP, log.catalog().where("partition = 2"), marks, positions.KAFKA)
+    return offsets.current_commits(ledger.commits())
+
+
 @query
 def committed_offsets(spark, sf_dir):
     log, ledger = views.event_log(spark, sf_dir), views.event_ledger(spark, sf_dir)
