@@ -98,6 +98,29 @@ def test_chains_and_groups_around_no_common_leader(documents):
     assert {tuple(r) for r in near_duplicates(documents(rows)).collect()} == expected
 
 
+def drifted(rng, base, share):
+    """Runs of the base replaced by words that no other text has."""
+    words = list(base)
+    for at in rng.sample(range(0, len(words) - 4, 5), int(share * len(words) / 5)):
+        words[at] = f"own{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_group_of_unlinked_copies_costs_its_size(documents, monkeypatch):
+    """Copies whose own changes fill more than a ninth of their shingles meet nobody; those that are linked are found among them."""
+    from topiclog.llm import neardup
+
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(160)]
+    rows = [(i, drifted(rng, base, 0.22 if i % 4 else rng.choice([0.03, 0.06, 0.1]))) for i in range(10, 410)]
+    rows += [(1000 + i, rows[i * 7][1] + f" tail{i}") for i in range(40)]
+    sifted = []
+    known = neardup._Linker._alike
+    monkeypatch.setattr(neardup._Linker, "_alike", lambda self, pairs: sifted.append(pairs.distinct().count()) or known(self, pairs))
+    assert {tuple(r) for r in near_duplicates(documents(rows)).collect()} == brute_near(rows, 4, 80)
+    assert sifted[-1] < 4 * len(rows)
+
+
 def test_near_duplicates_odd_rows(documents, spark):
     long = " ".join(f"x{i}" for i in range(300_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "two"), (None, "one two"), (8, long), (9, long + " end"), (4, "one two")]

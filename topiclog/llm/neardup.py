@@ -1,4 +1,4 @@
-"""Near-duplicate documents: MinHash bands propose pairs, odd sketches sift them, full shingle sets confirm them.
+"""Near-duplicate documents: MinHash bands propose groups and pairs, odd sketches sift them, full shingle sets confirm them.
 
 An odd sketch folds the MinHash samples of a document into a bitmap of parities; the number of bits in which two
 bitmaps differ estimates how many samples differ, and so the similarity, best where that is high. A pair that agrees
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclog.llm import bloom
@@ -136,6 +136,18 @@ def _setted(n: int):
     return run, "set_hi long, set_lo long, shingles binary"
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each shingle of each set."""
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("shingles")]
+        sizes = [len(s) for s in sets]
+        nodes = np.repeat(batch.column("node").to_numpy(), sizes)
+        if sets:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array(np.repeat(np.array(sizes, np.int64), sizes)), pa.array(np.concatenate(sets))],
+                names=["node", "n_shingles", "shingle"])
+
+
 def _confirmed(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -218,31 +230,57 @@ class _Linker:
         return self._alike(pairs.select(F.least("node", "guide").alias("a"), F.greatest("node", "guide").alias("b")))
 
     def across(self, labels: DataFrame) -> DataFrame:
-        """Candidates between all members of one bucket that are still in different components.
-
-        The main component is not paired with itself, so a large group of copies costs its size for each stray that is left.
+        """Links (a, b) between members of buckets that still hold several components.
+
+        Shingles of these members are put in one order, those that fewest members hold first. If x and y reach the threshold, they have at
+        least percent / (100 + percent) of their two sizes in common, so their first common shingle has at least as many places from it to
+        the end of either set: from its place in x follows the largest y that it may link, and the other way round. A text whose own
+        changes fill its first places meets nobody, so a group of copies that are linked to none of the others costs its size and not its
+        pairs. Shingles that only one member holds take places and are never joined. Strays look for members by (shingle, size); members of
+        the main component of all their buckets are only found. What meets is sifted by sketches and confirmed on the full sets.
         """
         members = self._mixed(labels)
-        members = stored(members.join(self.nodes.select("node", "n_shingles", *_SKETCH), "node"), "mixed")
-        return (
-            members.where("label <> main").alias("x").join(members.alias("y"), F.expr(
-                "x.bucket = y.bucket and x.label <> y.label and (y.label = y.main or x.node < y.node)")
-                & _alike("x", "y", self.percent))
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        involved = stored(members.groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("stray")), "involved")
+        sets = self._sets(involved)
+        held = sets.mapInArrow(_held, "node long, n_shingles long, shingle long")
+        shared = stored(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "shared")
+        own = Window.partitionBy("node")
+        places = (
+            held.join(shared, "shingle")
+            .withColumn("place", F.row_number().over(own.orderBy("holders", "shingle")))
+            .withColumn("place", F.col("n_shingles") - F.count(F.lit(1)).over(own) + F.col("place"))
         )
-
-    def confirmed(self, candidates: DataFrame) -> DataFrame:
-        """The candidates whose full sets reach the threshold. Only texts of candidates are fetched."""
-        candidates = stored(candidates, "candidates")
-        wanted = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = stored(wanted.join(self.nodes.select("node", "set_hi", "set_lo"), "node"), "wanted")
+        p = self.percent
+        firsts = places.withColumn("most", F.expr(f"({100 + p} * (n_shingles - place + 1) - {p} * n_shingles) div {p}"))
+        firsts = firsts.where(f"100 * most >= {p} * n_shingles").select("shingle", "node", "n_shingles", "most")
+        firsts = stored(firsts.join(involved, "node"), "firsts")
+        sizes = firsts.groupBy("shingle", F.col("n_shingles").alias("size")).agg(F.max("most").alias("reach"))
+        asked = stored(
+            firsts.where("stray").join(sizes, "shingle")
+            .where(f"100 * size >= {p} * n_shingles and size <= most and reach >= n_shingles"), "asked")
+        pairs = asked.alias("x").join(firsts.alias("y"), F.expr(
+            "x.shingle = y.shingle and x.size = y.n_shingles and y.most >= x.n_shingles and x.label <> y.label"
+            " and (not y.stray or x.node < y.node)"))
+        return self.confirmed(self._alike(pairs.select(
+            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))), sets)
+
+    def _sets(self, wanted: DataFrame) -> DataFrame:
+        """Stored (node, shingles) of the nodes in ``wanted``; only their texts are fetched."""
+        wanted = stored(wanted.join(self.nodes.select("node", "set_hi", "set_lo"), "node").select("node", "set_hi", "set_lo"), "wanted")
         blocks = bloom.blocks_for(wanted.count())
         texts = bloom.possible(self.docs, "id", bloom.built(wanted, "node", blocks), blocks)
         # An inner join: a semi-join would be moved below the filter.
         texts = texts.join(wanted.select(F.col("node").alias("id")).distinct(), "id").select("text")
         run, schema = _setted(self.n)
         sets = texts.mapInArrow(run, schema).join(wanted, ["set_hi", "set_lo"]).select("node", "shingles")
-        sets = stored(sets, "sets")
+        # A row that occurs twice has its set once.
+        return stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+
+    def confirmed(self, candidates: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """The candidates whose full sets reach the threshold. Without ``sets``, texts of candidates are fetched."""
+        candidates = stored(candidates, "candidates")
+        if sets is None:
+            sets = self._sets(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         pairs = (
             candidates.alias("c").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
@@ -260,7 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Nulls and repeats: a null text is empty; an empty text has no shingles and no links. Rows without doc_id are in no
     component (null) and are kept. Texts with the same set are one node of the graph, so groups of copies cost no pairs; a
-    doc_id that occurs with several texts is judged text by text. An empty table gives no rows.
+    doc_id that occurs with several texts is one document with all their links. ``percent`` is 1 at least. An empty table gives no rows.
 
     The chance that no band of a pair agrees is (1 - s^4)^24 at similarity s: 3e-6 at 0.8 and less above.
     """
@@ -273,8 +311,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linker = _Linker(source.where("id is not null"), nodes, words, percent)
     links = linker.confirmed(linker.to_leaders())
     labels = components(links)
-    for step in (linker.to_guides, linker.across):
-        more = linker.confirmed(step(labels))
+    for step in (lambda known: linker.confirmed(linker.to_guides(known)), linker.across):
+        more = step(labels)
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
