@@ -148,3 +148,16 @@ def test_components(spark):
     expected = {i: 20 for i in range(20, 61)} | {i: 100 for i in [100, *range(200, 260)]} | {5: 5} | {i: 7 for i in (7, 8, 300)}
     assert found == expected
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("change", [str.lower, str.upper])
+def test_columns_named_like_internal_ones_stay(spark, change):
+    from topiclog.llm.mixing import mixture
+
+    names = [change(c) for c in ("__digest", "__keep_id", "__nth", "__dropped", "__source", "__size", "__u", "__order", "__copies", "row", "id")]
+    rows = [(i, f"text {'same' if i < 3 else i} of words", "s", *range(i * 100, i * 100 + len(names))) for i in range(1, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in names))
+    for found in (without_exact_duplicates(docs), without_near_duplicates(docs), mixture(docs)):
+        assert found.columns == docs.columns
+        assert {tuple(r) for r in found.collect()} <= set(rows)
+    assert sorted(r.doc_id for r in without_exact_duplicates(docs).collect()) == [1, 3, 4, 5]

@@ -123,7 +123,7 @@ def test_copies_reach_their_targets(documents, generated):
 def test_copies_go_to_the_least_order(documents, generated):
     """Within a source, those with a copy more are the ones with the least uniform number."""
     docs = documents(generated)
-    drawn = {r.doc_id: r["__u"] for r in mixing._drawn(docs, "doc_id", "text", "source", 0).collect()}
+    drawn = {r.doc_id: r["__u"] for r in docs.select("doc_id", *mixing._numbers("doc_id", "text", "source", 0)).collect()}
     by_source = collections.defaultdict(list)
     for r in mixing.copies(docs).collect():
         by_source[r.source].append((drawn[r.doc_id], r.copies))
@@ -325,6 +325,10 @@ def test_greedy_parse_as_brute_force():
         assert language.SuffixAutomaton(text).phrases(word) == count
 
 
+def test_number_signs_are_no_letters():
+    assert language._LETTERS.findall("½ ² ③ 7_") == [] and language._LETTERS.findall("x²y é漢") == ["x", "y", "é漢"]
+
+
 def test_languages_of_documents(documents, spark):
     import random
 

@@ -46,6 +46,14 @@ def others(df: DataFrame, taken: Iterable[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until ``df`` has no such column, in either case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc32_of_id(column: str) -> Column:
     """crc32 of the id written as text; 0 without an id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0).cast("long"))

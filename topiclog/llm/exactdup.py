@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiclog.llm.base import SPACES, others, stored
+from topiclog.llm.base import SPACES, others, stored, unused
 
 # Digests are dealt to ranges by hash, each with its own sketch: at most RANGES * COUNTERS candidates in all.
 RANGES, COUNTERS = 32, 64
@@ -74,12 +74,12 @@ def without_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col:
     id and normalised text are ordered by their raw text.
     """
     digests = stored(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")), "digests")
-    frequent = stored(winners(digests, least), "frequent").select(
-        F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep_id"))
-    marked = docs.withColumn("__digest", digest(F.col(text_col))).join(F.broadcast(frequent), "__digest", "left")
-    left = marked.where(F.col("__keep_id").isNull() | F.col(id_col).eqNullSafe(F.col("__keep_id")))
-    order = Window.partitionBy("__digest").orderBy(F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last())
-    return left.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*others(docs, ()))
+    key, keep, nth = (unused(docs, name) for name in ("__digest", "__keep_id", "__nth"))
+    frequent = stored(winners(digests, least), "frequent").select(F.col("digest").alias(key), F.col("keep_id").alias(keep))
+    marked = docs.withColumn(key, digest(F.col(text_col))).join(F.broadcast(frequent), key, "left")
+    left = marked.where(F.col(keep).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
+    order = Window.partitionBy(key).orderBy(F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last())
+    return left.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*others(docs, ()))
 
 
 ORACLE = r"""

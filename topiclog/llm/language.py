@@ -11,10 +11,10 @@ distinct word and remembered, and a document only adds up counts, one for each o
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ HELD_BACK = 10
 REMEMBERED = 250_000
 UNKNOWN = "und"
 _BITS = 40
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 COLUMNS = ("doc_id", "held_out", "lang_pred", "score")
 
 

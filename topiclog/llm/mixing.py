@@ -57,10 +57,10 @@ def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
 
-def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+def _numbers(id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
     number = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col)), 12)
-    return docs.withColumns({
-        "__source": _source_key(F.col(source_col)), "__size": words(F.col(text_col)), "__u": (number + 0.5) / float(1 << 52)})
+    return [_source_key(F.col(source_col)).alias("__source"), words(F.col(text_col)).alias("__size"),
+            ((number + 0.5) / float(1 << 52)).alias("__u")]
 
 
 def _order(p: Column) -> Column:
@@ -127,9 +127,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     and only the slice where a source's words run out is sorted. So no source is in one task, however large. The texts
     are read once, for id, size and number.
     """
-    narrow = stored(
-        _drawn(docs, id_col, text_col, source_col, seed)
-        .select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), "__source", "__size", "__u"), "sizes")
+    narrow = stored(docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), *_numbers(id_col, text_col, source_col, seed)), "sizes")
     taken = _copies(narrow, _plan(narrow, weights, share, cap), "id")
     return taken.select(F.col("id").alias("doc_id"), "source", F.col("__size").alias("size"), "source_size", "target",
                         F.col("__copies").alias("copies"))
@@ -138,9 +137,10 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
             seed: int = 0, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """The mixed table: every row of ``docs``, with its own columns, as often as :func:`copies` says."""
-    drawn = _drawn(docs, id_col, text_col, source_col, seed)
-    narrow = stored(drawn.select(
-        F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), "__source", "__size", "__u"), "sizes")
+    row = F.struct(*others(docs, ())).alias("row")
+    named = [F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source")]
+    drawn = docs.select(row, *named, *_numbers(id_col, text_col, source_col, seed))
+    narrow = stored(docs.select(*named, *_numbers(id_col, text_col, source_col, seed)), "sizes")
     plan = _plan(narrow, weights, share, cap).select("__source", "__whole", "__p", "__last")
-    taken = _copies(drawn, plan, id_col).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*others(docs, ()))
+    taken = _copies(drawn, plan, "id").where("__copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "__copies"))).select("row.*")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclog.llm import bloom
-from topiclog.llm.base import bounded_batches, others, per_process, stored
+from topiclog.llm.base import bounded_batches, others, per_process, stored, unused
 from topiclog.llm.graph import components
 from topiclog.llm.textbytes import mixed, word_hashes
 
@@ -332,5 +332,6 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Copies of one doc_id stand or fall together; remove exact duplicates before if they should not.
     """
     judged = near_duplicates(docs, id_col, text_col, words, percent)
-    dropped = stored(judged.where("not kept").select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti").select(*others(docs, ()))
+    gone = unused(docs, "__dropped")
+    dropped = stored(judged.where("not kept").select(F.col("doc_id").alias(gone)).distinct(), "dropped")
+    return docs.join(dropped, F.col(id_col).cast("long") == F.col(gone), "left_anti").select(*others(docs, ()))
