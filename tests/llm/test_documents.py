@@ -147,6 +147,15 @@ def test_mixture_of_odd_tables(documents, spark, generated):
 
 # Packing
 
+def test_remembered_keys_live_for_two_generations():
+    made = []
+    known = packing.Remembered(lambda k: made.append(k) or k.upper(), 2)
+    for keys in ([b"a", b"b", b"c"], [b"a"], [b"b"], [b"d", b"e"], [b"c"], [b"a"]):
+        known.age()
+        assert [known[k] for k in keys] == [k.upper() for k in keys]
+    assert made == [b"a", b"b", b"c", b"d", b"e", b"c"]
+
+
 def test_first_fit_as_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(50):
@@ -223,6 +232,16 @@ def test_groups_follow_pieces(documents, monkeypatch):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+def test_alike_pieces_without_ids_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 500)
+    docs = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "'the same few words' as text")
+    found = packing.sequences(docs).groupBy(F.shiftright("sequence_id", 32).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("words"), F.countDistinct("sequence_id").alias("sequences")).collect()
+    assert sum(r.n for r in found) == 20_000
+    assert len(found) == 40 and max(r.n for r in found) < 1000
+    assert all((r.sequences - 1) * 2048 <= r.words + r.sequences * 5 for r in found)
+
+
 def test_the_query_packs_ids(spark, monkeypatch):
     cut = packing.pieces(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
     expected = {(r.doc_id, r.start, r.length, zlib.crc32(r.ids)) for r in cut.collect()}

@@ -7,7 +7,8 @@ The tree holds the most room below each node, so that sequence is found in a wal
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,80 +25,70 @@ END_ID = 1
 # Pieces for each group, on average: large enough that the last sequences of a group hardly count.
 GROUP_ROWS = 4096
 TOKENIZER = "word_bpe_49k.json"
-# Distinct white-space separated strings whose ids a worker process remembers before it forgets them all.
-REMEMBERED = 250_000
+# Distinct words, and distinct strings, whose ids a worker process keeps in each of two generations.
+REMEMBERED = 125_000
 _TAIL = b".,;:!?*#%$&"
 COLUMNS = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 
 
+class Remembered(dict):
+    """Values by key, made when first asked for, in two generations: keys that come again stay, others are forgotten in time."""
+
+    def __init__(self, make: Callable[[bytes], bytes], most: int):
+        self._make, self._most = make, most
+        self._old: dict[bytes, bytes] = {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self._old.get(key)
+        if value is None:
+            value = self._make(key)
+        self[key] = value
+        return value
+
+    def age(self) -> None:
+        """Begin a new generation if this one is full."""
+        if len(self) > self._most:
+            self._old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """The ids of whole texts, as little-endian unsigned 32-bit numbers, from the ids of their space-separated strings.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its strings in turn, and
-    each distinct string is encoded once. Punctuation after a plain word is a token run of its own. Words of letters are encoded
-    many at a time: each is one run, whose ids the numbers of the runs tell apart.
+    The tokenizer drops white space and never joins across it, so a text's ids are those of its strings in turn. Punctuation
+    after a plain word is a token run of its own, and case does not matter: words and what follows them are remembered
+    apart, words of ASCII letters in lower case. These need no normalising or splitting, so the vocabulary's model alone gives their ids.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self._full = Tokenizer.from_file(path)
-        # For lower-case ASCII words, normalising and byte mapping change nothing.
-        self._plain = Tokenizer.from_file(path)
-        self._plain.normalizer = normalizers.Sequence([])
-        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self._ids: dict[bytes, bytes] = {}
-
-    def _many(self, tokenizer, words: list[str]) -> list[bytes]:
-        if not words:
-            return []
-        found = tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        cuts = np.flatnonzero(np.diff(np.array(found.word_ids))) + 1
-        if len(cuts) + 1 != len(words):
-            return self._each(words)
-        raw = ids.tobytes()
-        ends = [*(cuts * 4).tolist(), len(raw)]
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _each(self, strings: list[str]) -> list[bytes]:
-        found = self._full.encode_batch_fast(strings, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, strings: set[bytes]) -> None:
-        known = self._ids
-        stems = {}
-        for s in strings:
-            stem = s.rstrip(_TAIL)
-            if stem and (stem.isalpha() if stem.isascii() else stem[-1:].isalpha() and stem.decode().isalpha()):
-                stems[s] = stem
-            else:
-                stems[s] = s
-        new = {part for s, stem in stems.items() for part in (stem, s[len(stem):]) if part and part not in known}
-        plain, letters, rest = [], [], []
-        for s in new:
-            text = s.decode()
-            (plain if s.isascii() and s.isalpha() else letters if text.isalpha() else rest).append((s, text))
-        for group, ids in (
-            (plain, self._many(self._plain, [t.lower() for _, t in plain])),
-            (letters, self._many(self._full, [t for _, t in letters])),
-            (rest, self._each([t for _, t in rest])),
-        ):
-            known.update(zip((s for s, _ in group), ids))
-        for s, stem in stems.items():
-            if s not in known:
-                known[s] = known[stem] + known[s[len(stem):]]
+        self._model = self._full.model
+        self._parts = Remembered(self._part, REMEMBERED)
+        self._strings = Remembered(self._string, REMEMBERED)
+
+    def _part(self, part: bytes) -> bytes:
+        if part.isalpha():
+            return array("I", [t.id for t in self._model.tokenize(part.decode())]).tobytes()
+        return array("I", self._full.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _string(self, s: bytes) -> bytes:
+        word = s.rstrip(_TAIL)
+        if word.isalpha():
+            known = self._parts[word.lower()]
+        elif not word.isascii() and word[-1:].isalpha() and word.decode().isalpha():
+            known = self._parts[word]
+        else:
+            return self._parts[s]
+        return known + self._parts[s[len(word):]] if len(word) < len(s) else known
 
     def encoded(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; ``texts`` together are of the size of a chunk."""
-        split = [t.split() for t in texts]
-        if len(self._ids) > REMEMBERED:
-            self._ids.clear()
-        missing = set().union(*split).difference(self._ids)
-        if missing:
-            self._learn(missing)
-        get = self._ids.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        self._parts.age()
+        self._strings.age()
+        get = self._strings.__getitem__
+        return [b"".join(map(get, t.split())) for t in texts]
 
 
 def _encoder(path: str | None) -> Encoder:
@@ -212,17 +203,19 @@ def _placer(length: int):
     return place
 
 
-def packed(cut_pieces: DataFrame, rows: int, length: int = LENGTH, seed: int = 0) -> DataFrame:
+def packed(cut_pieces: DataFrame, rows: int, length: int = LENGTH, seed: int = 0, number_col: str | None = None) -> DataFrame:
     """``cut_pieces`` (doc_id, start, length and any other columns) with sequence_id and offset.
 
     Sequences hold at most ``length`` ids, offsets in them have no gaps. ``rows`` is about the number of pieces;
     it sets the number of groups. Pieces are dealt by a hash of document, place and length, so a long document spreads over groups
-    and a task run again deals the same. Columns with the names of the result are replaced.
+    and a task run again deals the same. Pieces alike in these meet in one group unless ``number_col``, a stored column, tells them
+    apart; it is not returned. Columns with the names of the result are replaced.
     """
     groups = max(1, -(-rows // GROUP_ROWS))
-    base = cut_pieces.select(*others(cut_pieces, ("sequence_id", "offset")))
-    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "start", "length", "doc_tokens")
-    keyed = base.withColumn("__key", key).withColumn("__group", F.pmod("__key", F.lit(groups)))
+    number = [] if number_col is None else [number_col]
+    base = cut_pieces.select(*others(cut_pieces, ("sequence_id", "offset", *number)))
+    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "start", "length", "doc_tokens", *number)
+    keyed = cut_pieces.withColumn("__key", key).select(*others(cut_pieces, ("sequence_id", "offset", *number)), "__key").withColumn("__group", F.pmod("__key", F.lit(groups)))
     schema = T.StructType([*base.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return keyed.groupBy("__group").applyInPandas(_placer(length), schema)
 
@@ -230,7 +223,9 @@ def packed(cut_pieces: DataFrame, rows: int, length: int = LENGTH, seed: int = 0
 def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
     """All ``docs`` packed, with their ids: one row per piece (:func:`pieces` and :func:`packed`).
 
-    The pieces are written once, so that they are counted before they are dealt: a group's size does not grow with the texts.
+    The pieces are written once, with numbers, so that they are counted before they are dealt: a group's size does not grow with
+    the texts, nor with documents alike or without doc_id.
     """
-    cut_pieces = stored(pieces(docs, id_col, text_col, length, tokenizer), "pieces")
-    return packed(cut_pieces, cut_pieces.count(), length)
+    numbered = pieces(docs, id_col, text_col, length, tokenizer).withColumn("__number", F.monotonically_increasing_id())
+    cut_pieces = stored(numbered, "pieces")
+    return packed(cut_pieces, cut_pieces.count(), length, number_col="__number")
