@@ -49,6 +49,16 @@ def test_exact_groups_as_brute_force(documents, generated, least):
     assert len(found) == len(rows)
 
 
+def test_groups_that_no_sketch_found_need_no_window(documents, generated):
+    rows = [(7, "seen often")] * 30 + [(None, "without id")] * 30 + [r[:2] for r in generated if r[0] > 7]
+    found = exact_groups(documents(rows), least=1000)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    counts = {}
+    for r in found.collect():
+        counts.setdefault((r.doc_id, r.keep_id, r.group_size), []).append(r.kept)
+    assert sorted(counts[7, 7, 30]) == sorted(counts[None, None, 30]) == [False] * 29 + [True]
+
+
 @pytest.mark.parametrize("least", [2, 1000])
 def test_exact_duplicates_go(documents, generated, least):
     kept = without_exact_duplicates(documents(generated), least=least)

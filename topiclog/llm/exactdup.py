@@ -25,14 +25,24 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " "), 256))
 
 
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, digest, number) of every row, stored; the numbers tell rows apart."""
+    return stored(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest"),
+                              F.monotonically_increasing_id().alias("number")), "digests")
+
+
+def _copies() -> tuple[Column, Column]:
+    return F.min(F.struct(F.col("id").isNull().alias("without"), "id", "number")).alias("least"), F.count(F.lit(1)).alias("rows")
+
+
 def winners(digests: DataFrame, least: int = LEAST) -> DataFrame:
-    """(digest, keep_id, group_size) of texts with at least ``least`` rows that the sketches found.
+    """(digest, least, rows) of texts with at least ``least`` rows that the sketches found; least is (without id?, id, number).
 
-    ``digests`` has (id, digest) and is read twice. A digest that is more than 1 in COUNTERS of its range's rows
+    ``digests`` is that of :func:`numbered` and is read twice. A digest that is more than 1 in COUNTERS of its range's rows
     is always found. Bounded by RANGES * COUNTERS rows (64-bit hashes of digests that collide are told apart).
     """
     key = F.xxhash64("digest")
-    keyed = digests.select("id", "digest", key.alias("key"))
+    keyed = digests.select("id", "number", "digest", key.alias("key"))
     found = (
         keyed.groupBy(F.pmod("key", F.lit(RANGES)).alias("range"))
         .agg(F.expr(f"approx_top_k(key, {COUNTERS}, {COUNTERS})").alias("items"))
@@ -40,8 +50,8 @@ def winners(digests: DataFrame, least: int = LEAST) -> DataFrame:
     )
     return (
         keyed.join(F.broadcast(found), "key")
-        .groupBy("digest").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .where(F.col("group_size") >= least)
+        .groupBy("digest").agg(*_copies())
+        .where(F.col("rows") >= least)
     )
 
 
@@ -51,20 +61,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are equal if they are after replacing each run of ASCII white space by one space; null counts as empty. Of equal
     texts the row with the smallest doc_id stays. Rows without doc_id come last; keep_id is null if
     no row of the group has one. Of rows with the same doc_id and equal texts one stays. An empty table gives no rows.
+
+    The row that stays is the least (id, number) of its text, with numbers that the stored digests hold; so copies are summed where
+    they are read, also those that the sketches missed, rows without id and rows repeated under one id.
     """
-    digests = stored(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")), "digests")
+    digests = numbered(docs, id_col, text_col)
     frequent = stored(winners(digests, least), "frequent")
     marked = digests.join(F.broadcast(frequent), "digest", "left")
-    gone = F.coalesce(F.col("keep_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep_id")), F.lit(False))
-    group = Window.partitionBy("digest")
-    rest = marked.where(~gone).select(
-        "id", F.min("id").over(group).alias("keep_id"),
-        F.coalesce("group_size", F.count(F.lit(1)).over(group)).alias("group_size"),
-        (F.row_number().over(group.orderBy(F.col("id").asc_nulls_last())) == 1).alias("kept"), "digest",
-    )
-    dropped = marked.where(gone).select("id", "keep_id", "group_size", F.lit(False).alias("kept"), "digest")
-    return rest.unionByName(dropped).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    rare = marked.where("rows is null").drop("least", "rows")
+    groups = rare.groupBy("digest").agg(*_copies())
+    return rare.join(groups, "digest").unionByName(marked.where("rows is not null")).select(
+        F.col("id").alias("doc_id"), F.col("least.id").alias("keep_id"), F.col("rows").alias("group_size"),
+        (F.col("number") == F.col("least.number")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def without_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
@@ -73,9 +81,9 @@ def without_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col:
     Copies of frequent texts go where they are read; the other rows are shuffled once, by digest. Rows that agree in
     id and normalised text are ordered by their raw text.
     """
-    digests = stored(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")), "digests")
+    digests = numbered(docs, id_col, text_col)
     key, keep, nth = (unused(docs, name) for name in ("__digest", "__keep_id", "__nth"))
-    frequent = stored(winners(digests, least), "frequent").select(F.col("digest").alias(key), F.col("keep_id").alias(keep))
+    frequent = stored(winners(digests, least), "frequent").select(F.col("digest").alias(key), F.col("least.id").alias(keep))
     marked = docs.withColumn(key, digest(F.col(text_col))).join(F.broadcast(frequent), key, "left")
     left = marked.where(F.col(keep).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
     order = Window.partitionBy(key).orderBy(F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last())
