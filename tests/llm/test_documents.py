@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topiclog.llm import language, licenses, mixing, packing, quality, queries, sharding
+from topiclog.llm.base import per_process
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -344,6 +345,17 @@ def test_greedy_parse_as_brute_force():
         assert language.SuffixAutomaton(text).phrases(word) == count
 
 
+def test_a_process_keeps_one_model():
+    made = []
+
+    def model(version):
+        return per_process("test model", lambda: made.append(version) or object(), version)
+
+    first = model("a")
+    assert model("a") is first and model("b") is not first and model("b") is model("b")
+    assert made == ["a", "b"]
+
+
 def test_number_signs_are_no_letters():
     assert language._LETTERS.findall("½ ² ③ 7_") == [] and language._LETTERS.findall("x²y é漢") == ["x", "y", "é漢"]
 

@@ -59,12 +59,14 @@ def crc32_of_id(column: str) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0).cast("long"))
 
 
-def per_process(name: str, make: Callable):
-    """An object that a worker process builds once.
+def per_process(name: str, make: Callable, version: str | None = None):
+    """An object that a worker process builds once; of several versions, as models of several calls, it keeps the last one used.
 
     Functions are shipped by value and come anew with each task, so their globals cannot hold it.
     """
     store = sys.modules.setdefault("topiclog_llm_worker", types.ModuleType("topiclog_llm_worker"))
-    if not hasattr(store, name):
-        setattr(store, name, make())
-    return getattr(store, name)
+    if name not in vars(store) or getattr(store, name)[0] != version:
+        # The version before goes before the next one is built.
+        vars(store).pop(name, None)
+        setattr(store, name, (version, make()))
+    return getattr(store, name)[1]

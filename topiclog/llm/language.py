@@ -182,7 +182,7 @@ def _judge(words, key: str):
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages = per_process(f"languages {key}", lambda: Languages(words.value))
+        languages = per_process("languages", lambda: Languages(words.value), key)
         for batch in batches:
             answers = [languages.judged(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([
