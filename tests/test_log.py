@@ -361,3 +361,14 @@ def test_nothing_to_merge_and_unfinished_appends(spark, log):
     log._marks.publish(log._marks.ends(log._marks.last()), "two", False, log._marks.last())
     with pytest.raises(AppendError, match="two"):
         log.compact()
+
+
+def test_a_task_of_an_append_sorts_one_stored_part(spark, log, parquet_files, path):
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = spark.range(40_000).select(
+        F.lit("topic").alias("topic"), F.lit(b"k").alias("key"), F.col("id").cast("string").cast("binary").alias("value"), F.col("id").alias("seq"))
+    log.append_keyed(rows, ["seq"], "a", rows_per_piece=1_000)
+    # Parts of a thousand messages, none put together with others by a task that writes the log.
+    assert len(parquet_files(path("log/append=a"))) >= 38
+    assert log.messages().groupBy("offset").count().count() == 40_000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split

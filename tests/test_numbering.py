@@ -63,3 +63,13 @@ def test_ties_and_nulls_in_the_order(spark):
 
 def test_no_rows(spark):
     assert dense_index(spark.range(0), ["id"], [], "index", 10).count() == 0
+
+
+def test_what_only_gives_the_order_is_neither_shuffled_nor_stored(spark, skewed, path):
+    tie = F.xxhash64("id")
+    store_in_order(skewed, ["name"], ["topic"], path("kept"), 1_000, tie=tie, keep=["topic", "id"])
+    stored = spark.read.parquet(path("kept"))
+    assert stored.columns == ["topic", "id", "_place"]
+    found = numbering.indexed(skewed.select("topic", "id"), ["topic"], "index", path("kept"))
+    assert found.exceptAll(plain(skewed.withColumn("tie", tie), ["name", "tie"], ["topic"]).select("topic", "id", "index")).isEmpty()
+    assert found.count() == 20_000

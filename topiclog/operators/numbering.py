@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiclog.session import broadcast_if_small, new_dir, pinned
+from topiclog.session import broadcast_if_small, new_dir, pinned, small_scans
 
 ROWS_PER_PIECE = 250_000
 _LEAST_ROWS = 10_000
@@ -41,20 +41,35 @@ def dense_index(
     return indexed(rows, within, into, path)
 
 
+def pieces(rows: DataFrame, rows_per_piece: int = ROWS_PER_PIECE, total: int | None = None) -> int:
+    """How many parts of about ``rows_per_piece`` rows ``rows`` make."""
+    total = rows.count() if total is None else total
+    # Few rows are shared among the cores that are there, too, as long as a part is worth a task.
+    spread = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(total / _LEAST_ROWS))
+    return max(1, spread, math.ceil(total / rows_per_piece))
+
+
 def store_in_order(
     rows: DataFrame, order_by: Sequence[str], within: Sequence[str], path: str, rows_per_piece: int = ROWS_PER_PIECE, total: int | None = None,
+    tie: Column | None = None, keep: Sequence[str] | None = None,
 ) -> None:
-    """Write ``rows`` to ``path`` in parts that follow each other in the order of ``within`` and ``order_by``, with their places."""
-    total = rows.count() if total is None else total
+    """Write ``rows`` to ``path`` in parts that follow each other in the order of ``within`` and ``order_by``, with their places.
+
+    ``tie`` orders rows that agree in these; it is not shuffled but made again behind the shuffle. ``keep`` names the columns to store,
+    all by default: those that only give the order need not be.
+    """
     keys = [*within, *order_by]
-    # Few rows are shared among the cores that are there, too, as long as a part is worth a task.
-    spread = min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(total / _LEAST_ROWS))
-    (
-        rows.repartitionByRange(max(1, spread, math.ceil(total / rows_per_piece)), *keys).sortWithinPartitions(*keys)
-        # Numbers the sorted rows of a task as they are written.
-        .withColumn("_place", F.monotonically_increasing_id())
-        .write.mode("overwrite").parquet(path)
-    )
+    parts = rows.repartitionByRange(pieces(rows, rows_per_piece, total), *keys, *([] if tie is None else [tie]))
+    if tie is not None:
+        parts = parts.withColumn("_tie", tie)
+    with small_scans(rows.sparkSession):
+        (
+            parts.sortWithinPartitions(*keys, *([] if tie is None else ["_tie"]))
+            # Numbers the sorted rows of a task as they are written.
+            .withColumn("_place", F.monotonically_increasing_id())
+            .select(*(rows.columns if keep is None else keep), "_place")
+            .write.mode("overwrite").option("compression", "zstd").parquet(path)
+        )
 
 
 def part_of(place: str) -> Column:

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a side may have, counted, before it is broadcast (a few tens of MB of offset rows).
 BROADCAST_ROWS = 200_000
+# Most bytes of a file that one task reads where it holds its rows for a shuffle or a sort.
+SPLIT_BYTES = 16 << 20
+_SPLIT, _OPENING = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,6 +73,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(found)
 
 
+def _bytes(text: str) -> int:
+    """A size as Spark's settings give it, such as 16m or 134217728b."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+@contextlib.contextmanager
+def small_scans(spark: SparkSession, files_apart: bool = False) -> Iterator[None]:
+    """Jobs that run meanwhile scan files in splits of at most ``SPLIT_BYTES``; with ``files_apart`` no two files share a task.
+
+    A task that sorts, or buffers for a shuffle, what it scans then holds the same however large the input is.
+    """
+    kept = {name: spark.conf.get(name) for name in (_SPLIT, _OPENING)}
+    split = min(SPLIT_BYTES, _bytes(kept[_SPLIT]))
+    spark.conf.set(_SPLIT, str(split))
+    if files_apart:
+        # Opening a file counts as much as a full split.
+        spark.conf.set(_OPENING, str(split))
+    try:
+        yield
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after counting it; larger sides take a shuffled join.
 

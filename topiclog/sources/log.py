@@ -26,7 +26,7 @@ from topiclog import schemas
 from topiclog.errors import AppendError, UnknownTopicError
 from topiclog.functions.patterns import starts_matching
 from topiclog.operators.numbering import ROWS_PER_PIECE, indexed, store_in_order
-from topiclog.session import broadcast_if_small, exists, new_dir, pinned, remove
+from topiclog.session import broadcast_if_small, exists, new_dir, pinned, remove, small_scans
 from topiclog.sources.manifest import COLUMNS, Manifest
 from topiclog.sources.marks import UNREAD, Marks, Step
 from topiclog.sources.pointer import read_or_none
@@ -78,14 +78,13 @@ def _checked_total(rows: DataFrame) -> int:
     return found.total
 
 
-def _total_order(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Rows with ``_tie``, a hash of the message, to order rows that agree in ``order_by``.
+def _tie(rows: DataFrame, order_by: Sequence[str]) -> Column:
+    """A hash of the message, to order rows that agree in ``order_by``.
 
     A task that is run again may see its input in another order; with ties left open two messages could swap
     their numbers, one be stored twice and the other lost. Rows that agree in the hash as well are the same message.
     """
-    message = [c for c in ("topic", "key", "value", "timestamp") if c in rows.columns]
-    return rows.withColumn("_tie", F.xxhash64(*order_by, *message))
+    return F.xxhash64(*order_by, *[c for c in ("topic", "key", "value", "timestamp") if c in rows.columns])
 
 
 class TopicLog:
@@ -314,9 +313,9 @@ class TopicLog:
 
         Rows without a key go to the partition that their value has as a key. Rows without a topic of the log are refused.
         """
-        placed = _total_order(self._with_partition_count(rows), order_by).withColumn(
+        placed = self._with_partition_count(rows).withColumn(
             "partition", keyed_partition(F.coalesce("key", "value", F.lit("").cast("binary")), F.col("_partitions")))
-        with self._numbered(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece) as (numbered, total):
+        with self._numbered(placed, order_by, PARTITION_KEYS, "_index", rows_per_piece, ["topic", "partition", "key", "value", "timestamp"]) as (numbered, total):
             self._write(numbered, append_id, total)
 
     def append_unkeyed(self, rows: DataFrame, order_by: Sequence[str], append_id: str,
@@ -325,8 +324,8 @@ class TopicLog:
 
         One numbering per topic gives both the partition and the place in it.
         """
-        counted = _total_order(self._with_partition_count(rows), order_by)
-        with self._numbered(counted, order_by, ["topic"], "_turn", rows_per_piece) as (dealt, total):
+        counted = self._with_partition_count(rows)
+        with self._numbered(counted, order_by, ["topic"], "_turn", rows_per_piece, ["topic", "value", "timestamp", "_partitions"]) as (dealt, total):
             placed = (
                 dealt.withColumn("key", F.lit(None).cast("binary"))
                 .withColumn("partition", F.pmod("_turn", F.col("_partitions")).cast("int"))
@@ -338,13 +337,20 @@ class TopicLog:
             self._write(placed.repartition(*PARTITION_KEYS, stretch), append_id, total)
 
     @contextlib.contextmanager
-    def _numbered(self, rows: DataFrame, order_by: Sequence[str], within: Sequence[str], into: str, rows_per_piece: int) -> Iterator[tuple[DataFrame, int]]:
-        """Rows with their numbers, and how many they are; what is stored for it goes when the append is done."""
+    def _numbered(
+        self, rows: DataFrame, order_by: Sequence[str], within: Sequence[str], into: str, rows_per_piece: int, keep: Sequence[str],
+    ) -> Iterator[tuple[DataFrame, int]]:
+        """The ``keep`` columns of rows with their numbers, and how many they are; what is stored for it goes when the append is done.
+
+        Only ``keep``, the order and the message are shuffled, and only ``keep`` is stored.
+        """
         total = _checked_total(rows)
         path = new_dir(rows.sparkSession, "numbered")
+        tie = _tie(rows, order_by)
+        needed = {*keep, *order_by, "key"}
         try:
-            store_in_order(rows, [*order_by, "_tie"], within, path, rows_per_piece, total)
-            yield indexed(rows, within, into, path), total
+            store_in_order(rows.select(*[c for c in rows.columns if c in needed]), order_by, within, path, rows_per_piece, total, tie, keep)
+            yield indexed(rows.select(*keep), within, into, path), total
         finally:
             remove(rows.sparkSession, [path])
 
@@ -372,14 +378,15 @@ class TopicLog:
                 manifest.keep(log.footer_extents(step.append), step.append)
         published = ends.select(*PARTITION_KEYS, F.col("_end").alias("next_offset"), F.col("_end").alias("before"))
         step = marks.publish(published, append_id, done=False, last=step)
-        (
+        placed = (
             numbered.join(broadcast_if_small(ends), PARTITION_KEYS)
             .select((F.col("_end") + F.col("_index")).alias("offset"), "key", "value", "timestamp", *PARTITION_KEYS)
             # Without this the writer sorts by its directories only and offsets lose their order.
             .sortWithinPartitions(*PARTITION_KEYS, "offset")
-            .write.mode("overwrite").partitionBy(*PARTITION_KEYS)
-            .parquet(os.path.join(self.path, f"append={append_id}"))
         )
+        # A task sorts one stored part: several together would grow with the append until they spill.
+        with small_scans(numbered.sparkSession, files_apart=True):
+            placed.write.mode("overwrite").partitionBy(*PARTITION_KEYS).parquet(os.path.join(self.path, f"append={append_id}"))
         extents = pinned(log.footer_extents(append_id)) if total else None
         stored = extents.agg(F.sum("messages")).first()[0] if extents is not None else 0
         if stored != total:
