@@ -372,3 +372,12 @@ def test_a_task_of_an_append_sorts_one_stored_part(spark, log, parquet_files, pa
     assert len(parquet_files(path("log/append=a"))) >= 38
     assert log.messages().groupBy("offset").count().count() == 40_000
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+
+
+def test_the_files_of_a_log_are_zstd(spark, log, parquet_files, path):
+    log.append_keyed(batch(spark, "x", key=b"0"), ["seq"], "a")
+    log.append_keyed(batch(spark, "y", key=b"0"), ["seq"], "b")
+    log.compact()
+    for folder in ("log/append=a", "log/append=b", "log/_merged"):
+        files = parquet_files(path(folder))
+        assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)

@@ -386,7 +386,8 @@ class TopicLog:
         )
         # A task sorts one stored part: several together would grow with the append until they spill.
         with small_scans(numbered.sparkSession, files_apart=True):
-            placed.write.mode("overwrite").partitionBy(*PARTITION_KEYS).parquet(os.path.join(self.path, f"append={append_id}"))
+            (placed.write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITION_KEYS)
+             .parquet(os.path.join(self.path, f"append={append_id}")))
         extents = pinned(log.footer_extents(append_id)) if total else None
         stored = extents.agg(F.sum("messages")).first()[0] if extents is not None else 0
         if stored != total:
@@ -421,7 +422,7 @@ class TopicLog:
             self.spark.read.schema(schemas.LOG).option("basePath", self.path)
             .parquet(*[os.path.join(self.path, f"append={a}") for a in appends]).drop("append")
             .repartitionByRange(max(1, -(-total // rows_per_file)), *order).sortWithinPartitions(*order)
-            .write.mode("overwrite").partitionBy(*PARTITION_KEYS).parquet(path))
+            .write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITION_KEYS).parquet(path))
         written = pinned(self._generation_extents().where(F.col("generation") == generation))
         stored = written.agg(F.sum("messages")).first()[0]
         if stored != total:
