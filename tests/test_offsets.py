@@ -280,6 +280,20 @@ def test_offset_gaps_shuffle_the_messages_once(spark, path):
     assert final.count("ENSURE_REQUIREMENTS") == 1
 
 
+def every_other_offset(spark):
+    odd = F.col("id") % 2
+    return spark.range(40_000).select(
+        F.concat(F.lit("t"), odd.cast("string")).alias("topic"), odd.cast("int").alias("partition"), (F.col("id") * 2).alias("offset"))
+
+
+def test_ranges_in_offset_order_do_not_grow_with_the_messages(spark):
+    place = F.struct("topic", "partition", "offset")
+    by_task = messages.in_offset_order(every_other_offset(spark), rows_per_range=1_000).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("rows"), F.min(place).alias("first"), F.max(place).alias("last")).orderBy("task").collect()
+    assert len(by_task) >= 38 and max(t["rows"] for t in by_task) < 2_000
+    assert all(a["last"] < b["first"] for a, b in zip(by_task, by_task[1:]))
+
+
 # A ledger that is folded
 
 def files_below(folder):

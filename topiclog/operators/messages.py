@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclog.errors import ProcessingError
-from topiclog.operators.numbering import ROWS_PER_PIECE, part_of, store_in_order
+from topiclog.operators.numbering import ROWS_PER_PIECE, part_of, pieces, store_in_order
 from topiclog.session import new_dir
 
 KEYS = ["topic", "partition"]
@@ -74,15 +74,16 @@ def offset_gaps(messages: DataFrame, stretch: int = STRETCH) -> DataFrame:
     )
 
 
-def in_offset_order(messages: DataFrame, whole_partitions: bool = False) -> DataFrame:
+def in_offset_order(messages: DataFrame, whole_partitions: bool = False, rows_per_range: int = ROWS_PER_PIECE) -> DataFrame:
     """Messages laid out so that each task sees the offsets of a partition in ascending order.
 
     The layout is by ranges of (topic, partition, offset): a hot partition is cut into consecutive ranges that
-    run side by side. ``whole_partitions`` keeps each partition in one task, for code that carries
-    state from message to message; use it on bounded input such as a micro-batch.
+    run side by side. They are of about ``rows_per_range`` messages, which are counted for it, so that none outgrows
+    its task. ``whole_partitions`` keeps each partition in one task, for code that carries state from message to
+    message; use it on bounded input such as a micro-batch.
     """
     by = (messages.repartition(*KEYS) if whole_partitions
-          else messages.repartitionByRange(*KEYS, "offset"))
+          else messages.repartitionByRange(pieces(messages, rows_per_range), *KEYS, "offset"))
     return by.sortWithinPartitions(*KEYS, "offset")
 
 
