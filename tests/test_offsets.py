@@ -294,6 +294,14 @@ def test_ranges_in_offset_order_do_not_grow_with_the_messages(spark):
     assert all(a["last"] < b["first"] for a, b in zip(by_task, by_task[1:]))
 
 
+def test_tasks_that_look_for_gaps_do_not_grow_with_the_messages(spark):
+    gaps = messages.offset_gaps(every_other_offset(spark), stretch=100, rows_per_piece=1_000)
+    assert gaps.count() == 39_998
+    # The first gap of a stretch is found elsewhere; the others are found where the stretch is.
+    held = gaps.where("offset % 100 > 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) > 30 and max(t["count"] for t in held) < 3_000
+
+
 # A ledger that is folded
 
 def files_below(folder):

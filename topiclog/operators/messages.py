@@ -46,17 +46,19 @@ def delivery_audit(messages: DataFrame) -> DataFrame:
         "exactly_once", (F.col("messages") == F.col("offsets")) & (F.col("offsets") == F.col("span")))
 
 
-def offset_gaps(messages: DataFrame, stretch: int = STRETCH) -> DataFrame:
+def offset_gaps(messages: DataFrame, stretch: int = STRETCH, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """Where the offsets of a partition do not follow each other by one.
 
     ``previous, offset, step, times``: a hole has step > 1, an offset seen again has step 0 and says how many
     ``times`` again. A window per partition would put a hot partition into one task. So repeats are counted
     first, neighbours are compared inside stretches of offsets, and the ends of stretches with each other. The messages
-    are read and shuffled once, by stretch; both comparisons use that layout.
+    are counted, and shuffled once, by stretch; both comparisons use that layout. Stretches are dealt to tasks of about
+    ``rows_per_piece`` messages, so a task holds no more of a longer log.
     """
+    tasks = max(messages.sparkSession.sparkContext.defaultParallelism, pieces(messages, rows_per_piece))
     offsets = (
         messages.select(*KEYS, "offset", F.expr(f"offset div {int(stretch)}").alias("_stretch"))
-        .repartition(*KEYS, "_stretch")
+        .repartition(tasks, *KEYS, "_stretch")
     )
     inside = offsets.groupBy(*KEYS, "_stretch", "offset").agg(F.count("*").alias("_copies")).withColumn(
         "previous", F.lag("offset").over(Window.partitionBy(*KEYS, "_stretch").orderBy("offset")))
