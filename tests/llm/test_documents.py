@@ -186,6 +186,20 @@ ODD = ["", " \n", "It's it's. don't!! CAN'T", "<|endoftext|> x<|endoftext|>.", "
        "12ab3. x1, 3.14", "漢字かな交じり文。テスト", "a\x1cb\x1d c\x85d e\xa0f", "🙂🙂. ok?!*#", "½ ² Ⅷ ﬁ", "x" * 300 + ". y", "don’t l’eau « »."]
 
 
+def test_words_of_latin_letters_need_the_model_only(monkeypatch):
+    import public_tokenizers
+
+    encoder = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    words = ["zu\u00f6", "RE\u00c9LE", "\u00e9\u00ea\u00e7.", "\u017dl\u0165!", "stra\u00dfe", "no\u00f1"]
+    # One letter that has no single lower-case letter, one that is not composed, one of another script.
+    odd = ["\u0130x", "e\u0301t", "\u03a3\u03c2"]
+    expected = [encoder._of_any(w) for w in words + odd]
+    asked, real = [], encoder._of_any
+    monkeypatch.setattr(encoder, "_of_any", lambda text: asked.append(text) or real(text))
+    assert encoder.encoded([w.encode() for w in words + odd]) == expected
+    assert not {w.strip(".!").lower() for w in words} & {a.strip(".!").lower() for a in asked} and asked[-3:] == odd
+
+
 def test_ids_are_those_of_the_tokenizer():
     found = dict(packing.token_ids([t.encode() for t in ODD]))
     assert [np.frombuffer(found[i], "<u4").tolist() for i in range(len(ODD))] == [encoded(t)[:-1] for t in ODD]
