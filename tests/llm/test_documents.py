@@ -186,6 +186,19 @@ ODD = ["", " \n", "It's it's. don't!! CAN'T", "<|endoftext|> x<|endoftext|>.", "
        "12ab3. x1, 3.14", "漢字かな交じり文。テスト", "a\x1cb\x1d c\x85d e\xa0f", "🙂🙂. ok?!*#", "½ ² Ⅷ ﬁ", "x" * 300 + ". y", "don’t l’eau « »."]
 
 
+def test_a_word_is_remembered_once():
+    """A plain word, what follows it and the strings that hold both are remembered once each, with the library's ids."""
+    import public_tokenizers
+
+    encoder = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    strings = ["thing", "thing,", "Thing", ",", "zuäbe", "ZUÄBE...", "λόγος", "λόγος", "sλa!", "x1", "!?", "don't.", "ŸŸ", "ÿÿ&"]
+    found = encoder.encoded([" ".join(strings).encode()])
+    assert found == [np.array(encoder._full.encode(" ".join(strings), add_special_tokens=False).ids, "<u4").tobytes()]
+    kept = [key for memory in vars(encoder).values() if isinstance(memory, packing.Remembered) for key in memory]
+    assert {"thing", "zuäbe", ","} <= {key.decode() for key in kept}
+    assert len(kept) == len(set(kept))
+
+
 def test_words_of_latin_letters_need_the_model_only(monkeypatch):
     import public_tokenizers
 

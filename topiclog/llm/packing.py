@@ -7,9 +7,11 @@ The tree holds the most room below each node, so that sequence is found in a wal
 
 from __future__ import annotations
 
+import codecs
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -26,15 +28,17 @@ END_ID = 1
 # Pieces for each group, on average: large enough that the last sequences of a group hardly count.
 GROUP_ROWS = 4096
 TOKENIZER = "word_bpe_49k.json"
-# Distinct words, and distinct strings, whose ids a worker process keeps in each of two generations.
-REMEMBERED = 125_000
+# Distinct strings whose ids a worker process keeps in each of two generations.
+REMEMBERED = 200_000
 _TAIL = b".,;:!?*#%$&"
 # Letters that are composed already and have one lower-case letter each: A to Z, Latin-1 and Latin Extended-A but for U+0130, U+0149 and U+017F.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 _latin_word = re.compile(f"[{_LATIN}]+").fullmatch
 # The character that stands for each byte in a byte-level vocabulary: itself if it prints, else one from U+0100 on, in turn.
 _PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTS)}
+_OTHERS = [b for b in range(0x100) if b not in _PRINTS]
+_BYTE_LETTERS = "".join(chr(b if b in _PRINTS else 0x100 + _OTHERS.index(b)) for b in range(0x100))
+_id = attrgetter("id")
 COLUMNS = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 
 
@@ -63,9 +67,10 @@ class Encoder:
     """The ids of whole texts, as little-endian unsigned 32-bit numbers, from the ids of their space-separated strings.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its strings in turn. Punctuation
-    after a plain word is a token run of its own, and case does not matter: words and what follows them are remembered
-    apart, words of ASCII letters in lower case. These need no normalising or splitting, so the vocabulary's model alone gives their ids.
-    So it does for words of other Latin letters, written byte by byte, if the vocabulary is seen to lower their case and to be of bytes.
+    after a plain word is a token run of its own, and case does not matter: a string's ids are those of its word in lower case and
+    of what follows it, each remembered as a string of its own. Words of ASCII letters need no normalising or splitting, so the
+    vocabulary's model alone gives their ids. So it does for words of other Latin letters, written byte by byte, if the vocabulary
+    is seen to lower their case and to be of bytes.
     """
 
     def __init__(self, path: str):
@@ -73,7 +78,6 @@ class Encoder:
 
         self._full = Tokenizer.from_file(path)
         self._model = self._full.model
-        self._parts = Remembered(self._part, REMEMBERED)
         self._strings = Remembered(self._string, REMEMBERED)
         letters = "".join(c for c in map(chr, range(0x180)) if _latin_word(c))
         probes = [letters, *(f"a{c}b" for c in letters)]
@@ -82,31 +86,33 @@ class Encoder:
     def _of_any(self, text: str) -> bytes:
         return array("I", self._full.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _of_latin(self, word: str) -> bytes:
-        letters = word.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
+    def _of_letters(self, letters: str) -> bytes:
+        return array("I", map(_id, self._model.tokenize(letters))).tobytes()
 
-    def _part(self, part: bytes) -> bytes:
-        if part.isalpha():
-            return array("I", [t.id for t in self._model.tokenize(part.decode())]).tobytes()
-        text = part.decode()
-        return self._of_latin(text) if self._latin and _latin_word(text) else self._of_any(text)
+    def _of_latin(self, word: str) -> bytes:
+        return self._of_letters(codecs.charmap_decode(word.lower().encode(), "strict", _BYTE_LETTERS)[0])
 
     def _string(self, s: bytes) -> bytes:
         word = s.rstrip(_TAIL)
         if word.isalpha():
-            known = self._parts[word.lower()]
-        elif self._latin and not word.isascii() and _latin_word(text := word.decode()):
-            known = self._parts[text.lower().encode()]
-        elif not word.isascii() and word[-1:].isalpha() and word.decode().isalpha():
-            known = self._parts[word]
+            plain = word.lower()
+            if plain == s:
+                return self._of_letters(s.decode())
+        elif word.isascii():
+            return self._of_any(s.decode())
+        elif self._latin and _latin_word(text := word.decode()):
+            plain = text.lower().encode()
+            if plain == s:
+                return self._of_latin(text)
+        elif len(word) < len(s) and word[-1:].isalpha() and word.decode().isalpha():
+            plain = word
         else:
-            return self._parts[s]
-        return known + self._parts[s[len(word):]] if len(word) < len(s) else known
+            return self._of_any(s.decode())
+        known = self._strings[plain]
+        return known + self._strings[s[len(word):]] if len(word) < len(s) else known
 
     def encoded(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; ``texts`` together are of the size of a chunk."""
-        self._parts.age()
         self._strings.age()
         get = self._strings.__getitem__
         return [b"".join(map(get, t.split())) for t in texts]
